@@ -2,5 +2,20 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from clonewell.llm.leakage import find_leaks
+from clonewell.session import table
+
+
+def p6_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
+    return find_leaks(docs, F.col("doc_id"), F.col("text"), items, F.col("item_id"), F.col("text"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_leaks(spark, folder).where("verbatim").select("doc_id", "item_id")
+
+
+QUERIES: dict = {"p6_found": p6_found, "p6_leaks": p6_leaks}
 SQL: dict = {}
