@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clonewell.llm.leakage import find_leaks
-from clonewell.session import table
+from clonewell.llm.mixing import mix_sources, plan_shares, reached_shares, source_name, token_counts
+from clonewell.session import stage, table
 
 
 def p6_leaks(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,5 +18,20 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_leaks(spark, folder).where("verbatim").select("doc_id", "item_id")
 
 
-QUERIES: dict = {"p6_found": p6_found, "p6_leaks": p6_leaks}
+def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, folder, "documents").select("doc_id", source_name(F.col("source")).alias("source"), "text")
+    targets = table(spark, folder, "mix_targets").select(source_name(F.col("source")).alias("source"), F.col("target_share").alias("share"), "max_repeat")
+    tokens = stage(token_counts(docs, "text"), "tokens")
+    return mix_sources(tokens, plan_shares(tokens, targets)), targets
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return _mix(spark, folder)[0]
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return reached_shares(*_mix(spark, folder))
+
+
+QUERIES: dict = {"p6_found": p6_found, "p6_leaks": p6_leaks, "p7_mix": p7_mix, "p7_shares": p7_shares}
 SQL: dict = {}
