@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clonewell.llm.leakage import find_leaks
 from clonewell.llm.mixing import mix_sources, plan_shares, reached_shares, source_name, token_counts
+from clonewell.llm.mojibake import find_garbled
 from clonewell.session import stage, table
 
 
@@ -33,5 +34,13 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return reached_shares(*_mix(spark, folder))
 
 
-QUERIES: dict = {"p6_found": p6_found, "p6_leaks": p6_leaks, "p7_mix": p7_mix, "p7_shares": p7_shares}
+def p8_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return find_garbled(table(spark, folder, "documents"), F.col("doc_id"), F.col("text"), F.col("lang"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_repaired(spark, folder).select("doc_id")
+
+
+QUERIES: dict = {"p6_found": p6_found, "p6_leaks": p6_leaks, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_repaired": p8_repaired}
 SQL: dict = {}
