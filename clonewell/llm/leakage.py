@@ -225,7 +225,7 @@ def _search(docs: DataFrame, items: Items, s: Settings) -> DataFrame | None:
                 if cut:
                     total += _gram_times(np.concatenate(cut), idf, sent.value)
             hit = np.flatnonzero(total.any(axis=1))
-            yield pd.DataFrame({"i": hit, "v": list(total[hit])})
+            yield pd.DataFrame({"i": hit, "v": pd.Series(list(total[hit]), dtype=object)})
 
         sums = stretches.mapInPandas(partial, "i int, v array<double>").select("i", F.posexplode("v").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).toPandas()
         out = _gram_times(own, idf, y)
