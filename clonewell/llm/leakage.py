@@ -126,18 +126,34 @@ def _common_run(a: np.ndarray, b: np.ndarray) -> int:
     return best
 
 
-def _common_subsequence(item: np.ndarray, text: np.ndarray) -> tuple[int, np.ndarray]:
-    """Length of the longest common subsequence, bit-parallel over the item, and the item's positions in it."""
-    at: dict[int, int] = {}
-    for k, x in enumerate(item.tolist()):
-        at[x] = at.get(x, 0) | (1 << k)
-    full = (1 << len(item)) - 1
-    v = full
-    for x in text.tolist():
-        u = v & at.get(x, 0)
-        v = ((v + u) | (v - u)) & full
-    left = np.array([v >> k & 1 for k in range(len(item))], dtype=bool)
-    return int((~left).sum()), ~left
+def _grams(words: np.ndarray, n: int) -> set[bytes]:
+    """The passages of n words, as the bytes of their ids."""
+    return {x.tobytes() for x in _windows(np.ascontiguousarray(words, dtype=np.int32), n, 1)}
+
+
+class Checker:
+    """What the checks need of one item, made once per task: its passages, and where each word stands as bits."""
+
+    def __init__(self, words: np.ndarray, run: int, idf: np.ndarray) -> None:
+        self.words, self.n = words, len(words)
+        self.need = min(run, self.n)
+        self.passages = _grams(words, self.need)
+        self.at: dict[int, int] = {}
+        for k, x in enumerate(words.tolist()):
+            self.at[x] = self.at.get(x, 0) | (1 << k)
+        # answer terms: the rarest quarter of the words (numbers and names, as a rule), one at least
+        terms = np.argsort(-idf[words], kind="stable")[: max(1, self.n // 4)].tolist()
+        self.answer, self.terms = sum(1 << k for k in terms), len(terms)
+
+    def common_subsequence(self, text: list[int]) -> int:
+        """Bits of the item's positions in the longest common subsequence with ``text``, bit-parallel over the item."""
+        at, full = self.at, (1 << self.n) - 1
+        v = full
+        for x in text:
+            if m := at.get(x):
+                u = v & m
+                v = ((v + u) | (v - u)) & full
+        return full & ~v
 
 
 def find_leaks(documents: DataFrame, doc_id: Column, text: Column, items: DataFrame, item_id: Column, item_text: Column, settings: Settings = Settings()) -> DataFrame:
@@ -241,16 +257,17 @@ def _search(docs: DataFrame, items: Items, s: Settings) -> DataFrame | None:
         v = _vectors(w, idf, basis)
         return (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
-    rare = {k: _answer(w, idf) for k, w in enumerate(items.words)}
-    model = _sent(spark, (items.ids, items.words, unit(own), origin, rare), own.size * 8 + 4 * len(own) * basis.shape[1])
+    model = _sent(spark, (items.ids, items.words, unit(own), origin), own.size * 8 + 4 * len(own) * basis.shape[1])
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, words, latent, origin, rare = model.value
+        ids, words, latent, origin = model.value
         first = np.flatnonzero(np.diff(origin, prepend=-1))  # the first passage of each item that has one
+        checkers = [Checker(w, s.run, idf) for w in words]
+        lengths = {c.need for c in checkers}
         for batch in batches:
             found = []
             for d, w in zip(batch["doc_id"].tolist(), batch["ids"]):
-                w = np.asarray(w)
+                w = np.asarray(w, dtype=np.int32)
                 cut = _windows(w, width, stride)
                 if (len(w) - width) % stride:
                     cut = np.concatenate([cut, w[None, -width:]])
@@ -259,21 +276,17 @@ def _search(docs: DataFrame, items: Items, s: Settings) -> DataFrame | None:
                 for k in range(0, len(v), 256):
                     best = np.maximum(best, (v[k : k + 256] @ latent.T).max(axis=0))
                 top = np.maximum.reduceat(best, first)
+                passages, text = {n: _grams(w, n) for n in lengths}, w.tolist()
                 for at, cosine in zip(origin[first][top >= s.min_cosine].tolist(), top[top >= s.min_cosine].tolist()):
-                    item = words[at]
-                    run = _common_run(w, item)
-                    lcs, inside = _common_subsequence(item, w)
-                    answer = float(inside[rare[at]].mean())
-                    verbatim = run >= min(s.run, len(item))
-                    if verbatim or lcs >= s.min_lcs * len(item) and answer >= s.min_answer:
-                        found.append((d, ids[at], cosine, run, lcs / len(item), answer, verbatim))
+                    item = checkers[at]
+                    verbatim = not item.passages.isdisjoint(passages[item.need])
+                    bits = item.common_subsequence(text)
+                    lcs, answer = bits.bit_count() / item.n, (bits & item.answer).bit_count() / item.terms
+                    if verbatim or lcs >= s.min_lcs and answer >= s.min_answer:
+                        found.append((d, ids[at], cosine, _common_run(w, item.words), lcs, answer, verbatim))
             yield pd.DataFrame(found, columns=[c.split()[0] for c in _FOUND.split(", ")])
 
     # a document may hold an item in several stretches
     hits = stretches.mapInPandas(check, _FOUND)
     return hits.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("cosine", "run_words", "lcs_share", "answer_share", "verbatim")))
 
-
-def _answer(item: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Positions of the rarest quarter of an item's words (numbers and names, as a rule), one at least."""
-    return np.argsort(-idf[item], kind="stable")[: max(1, len(item) // 4)]
