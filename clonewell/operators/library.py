@@ -78,7 +78,7 @@ def histogram(df: DataFrame, value: Column, cap: int | None = None, fill: bool =
     """``value, n``; values from ``cap`` up count as ``cap``; with ``fill``, absent values from 1 to ``cap`` have 0."""
     if fill and cap is None:
         raise ValueError("fill needs a cap")
-    v = value if cap is None else F.least(value, F.lit(cap))
+    v = value if cap is None else F.when(value.isNotNull(), F.least(value, F.lit(cap)))
     counts = df.select(v.cast("bigint").alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     if not fill:
         return counts
