@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
@@ -30,17 +31,40 @@ def _encoder(path: str, pattern: str):
     return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+#: White space in the tokenizer's sense; longer runs than this overflow its pattern's stack.
+_LONG_SPACE = re.compile("[ \\t\\n\\r\\f\\v\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{4096,}")
+
+
+def _counter(path: str, pattern: str):
+    """Function that counts the tokens of a text. Long runs of white space are counted apart.
+
+    The pattern takes such a run up to its last character as one piece (the whole run at the end of a text), and a piece
+    ends where it begins, so cutting there doesn't change the count.
+    """
+    encoder = _encoder(path, pattern)
+
+    def count(text: str) -> int:
+        n = at = 0
+        for m in _LONG_SPACE.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            n += len(encoder.encode_ordinary(text[at : m.start()])) + len(encoder._core_bpe.encode_single_piece(text[m.start() : end].encode()))
+            at = end
+        return n + len(encoder.encode_ordinary(text[at:]))
+
+    return count
+
+
 def token_counts(df: DataFrame, text: str, tokenizer: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
-    """``df`` with ``text`` replaced by ``n_tokens``, its tokens; null and empty texts have 0."""
-    others = [c for c in df.columns if c != text]
+    """``df`` with ``text`` replaced by ``n_tokens``, its tokens; null and empty texts have 0. A column of that name is replaced."""
+    others = [c for c in df.columns if c not in (text, "n_tokens")]
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(tokenizer, pattern).encode_ordinary
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = _counter(tokenizer, pattern)
         for batch in batches:
-            yield batch[others].assign(n_tokens=[len(encode(t)) if t else 0 for t in batch[text]])
+            yield batch[others].assign(n_tokens=[count(t) if t else 0 for t in batch[text]])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text)
-    return df.select(*others, text).mapInPandas(count, f"{schema}, n_tokens bigint")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in others)
+    return df.select(*others, text).mapInPandas(counted, f"{schema}, n_tokens bigint")
 
 
 def source_name(c: Column) -> Column:
