@@ -1,4 +1,4 @@
-"""Connected components of clustering graphs by label propagation with shortcuts."""
+"""Connected components of clustering graphs by hooking and shortcutting labels."""
 
 from __future__ import annotations
 
@@ -7,24 +7,32 @@ from pyspark.sql import DataFrame, functions as F
 from clonewell.session import stage, unstage
 
 
-def components(edges: DataFrame, a: str, b: str, max_rounds: int = 80) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """``node, component``: every node of an edge with the smallest node it is linked to, directly or not.
 
-    Each round gives a node the least label of itself, its neighbours and, by a shortcut, its label's own
-    label; so long chains are halved from round to round. Labels are staged in the shared folder, and
-    only the number of changed labels reaches the driver. Null ends are ignored; loops give their node.
+    In each round a node learns the least label among its neighbours; its own label's node takes that label too
+    (so whole groups hook onto smaller ones at once, wherever they touch), and then every label is replaced by its
+    label's label. The number of rounds grows with the logarithm of the longest path. Labels are
+    staged in the shared folder, and only whether one changed reaches the driver.
+
+    Least labels are map-side aggregates; the joins have one row per node on one side, so partitions of hubs
+    and large groups are split by adaptive skew handling. Null ends are ignored; a loop makes its
+    node a component; no edges give no rows.
     """
     links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
     links = stage(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
-    labels = stage(links.groupBy(F.col("u").alias("node")).agg(F.least("u", F.min("v")).alias("component"), F.lit(True).alias("changed")), "labels")
+    labels = stage(links.groupBy(F.col("u").alias("node")).agg(F.least("u", F.min("v")).alias("label")), "labels")
     for _ in range(max_rounds):
-        near = links.join(labels.select(F.col("node").alias("v"), F.col("component").alias("c")), "v").groupBy("u").agg(F.min("c").alias("near"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("jump"))
-        both = labels.join(jump, "component").join(near, F.col("node") == F.col("u"))
-        new = stage(both.select("node", F.least("near", "jump").alias("component"), (F.least("near", "jump") < F.col("component")).alias("changed")), "labels")
+        near = links.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
+        told = stage(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("near")), "near")
+        hooks = told.groupBy(F.col("label").alias("node")).agg(F.min("near").alias("hook"))
+        hooked = stage(told.join(hooks, "node", "left").select("node", "label", F.least("near", "hook").alias("new")), "hooked")
+        jump = hooked.select(F.col("node").alias("new"), F.col("new").alias("jump"))
+        new = stage(hooked.join(jump, "new").select("node", F.col("jump").alias("label"), (F.col("jump") != F.col("label")).alias("changed")), "labels")
         changed = new.where("changed").limit(1).count()
-        unstage(labels)
+        for old in (labels, told, hooked):
+            unstage(old)
         labels = new
         if not changed:
-            return labels.select("node", "component")
+            return labels.select("node", F.col("label").alias("component"))
     raise RuntimeError(f"labels still changed after {max_rounds} rounds")

@@ -112,3 +112,10 @@ def test_empty(spark):
     reads = spark.createDataFrame([], "read_id string, barcode string")
     seeds = C.seed_clusters(reads, calls)
     assert seeds.collect() == [] and C.merge_clusters(seeds, calls).collect() == []
+
+
+def test_components_of_a_long_shuffled_chain(spark):
+    ids = list(range(600))
+    random.Random(3).shuffle(ids)
+    df = spark.createDataFrame(list(zip(ids, ids[1:])), "a bigint, b bigint")
+    assert {r.component for r in components(df, "a", "b", max_rounds=14).collect()} == {0}
