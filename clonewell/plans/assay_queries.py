@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 from clonewell.functions import seq as S
 from clonewell.operators import enrich as E
 from clonewell.plans import base as B
-from clonewell.session import small, table
+from clonewell.session import small, stage, table
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -37,8 +37,10 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Staged, since pseudocount, baseline and conditions each read it."""
     s = B.samples(spark, folder)
-    return E.replicate_stats(E.frequencies(B.variant_counts(spark, folder), s), s)
+    freqs = stage(E.frequencies(B.variant_counts(spark, folder), s), "frequencies")
+    return stage(E.replicate_stats(freqs, s), "stats")
 
 
 def _lrs(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +83,7 @@ def log_ratios(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, folder: str) -> DataFrame:
-    lrs = _lrs(spark, folder)
+    lrs = stage(_lrs(spark, folder), "ratios")
     wt, null = F.col("lib_row") == "=", F.col("lib_row").rlike("del|ins") & (F.col("allfreq") > FREQ)
     return E.scores(lrs, E.control_medians(lrs, wt, null))
 
@@ -155,7 +157,7 @@ def _scored_clones(spark: SparkSession, folder: str) -> DataFrame:
     rows = g.select(F.when(F.size(muts) == 0, F.array(F.lit("="))).otherwise(muts).alias("muts"), (F.col("cond") != "All").cast("int").alias("sel"))
     n = F.count(F.lit(1))
     by = rows.groupBy("muts").agg(((F.sum("sel") + 0.5) / (n + 1)).alias("score"), F.sqrt(0.25 / (n + 1)).alias("sd"))
-    return by.withColumn("clone", F.array_join("muts", ";"))
+    return stage(by.withColumn("clone", F.array_join("muts", ";")), "scored")
 
 
 _CLONES = """, rr AS (SELECT g.mv, g.hl, cond, coalesce(list_sort(list_distinct(list(c.mut) FILTER (WHERE c.mut IS NOT NULL))), ['=']) AS muts FROM rg g JOIN smp ON sample = g.mv LEFT JOIN cl c ON c.mv = g.mv AND c.hl = g.hl GROUP BY g.mv, g.hl, cond),

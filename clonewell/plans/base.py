@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clonewell.functions.reads import hole_of, movie_of, sequence_of, usable_qual
 from clonewell.functions.seq import calls_of
-from clonewell.session import small, table
+from clonewell.session import small, stage, table
 
 #: Length of the reading frame of the amplicon: positions beyond it, or below 1, are off target.
 ORF_LENGTH = 900
@@ -53,7 +53,8 @@ def clones(spark: SparkSession, folder: str) -> DataFrame:
     muts = F.array_join(F.transform(F.array_sort(F.transform(calls_of(F.col("geno")), lambda c: F.struct(c["pos"], c["mut"]))), lambda x: x["mut"]), ";")
     geno = F.when(muts == "", "=").otherwise(muts)
     reads = virtual_barcodes(spark, folder).join(read_genotypes(spark, folder), ["movie", "hole"])
-    return reads.select("virtual", "up", geno.alias("geno")).groupBy("virtual", "up", "geno").agg(F.count(F.lit(1)).alias("size"))
+    found = reads.select("virtual", "up", geno.alias("geno")).groupBy("virtual", "up", "geno").agg(F.count(F.lit(1)).alias("size"))
+    return stage(found, "clones")  # collisions and totals read it several times
 
 
 def variant_counts(spark: SparkSession, folder: str) -> DataFrame:
