@@ -158,11 +158,11 @@ def genotype_texts(lines: DataFrame, orf_start: int) -> DataFrame:
 
 
 def extract(reads: DataFrame, amplicon: Amplicon, max_drops: int, min_quality: float) -> DataFrame:
-    """One row per SAM read: ``read_id, fate, combo, combo_qual, geno``.
+    """One row per SAM read: ``read_id, fate, barcodes, combo, combo_qual, geno``.
 
     Fates: ``failedQC``, ``insufficientCoverage``, ``missingBarcode`` (not every locus has one), ``lowQualBarcode`` (a barcode with
     more than ``max_drops`` bases below the median quality of all barcodes, or a mean below ``min_quality``) and ``ok``;
-    only the last have barcodes, joined in the order of loci (the first insertion of a locus counts), and a genotype.
+    only the last have barcodes, an array and joined in the order of loci (the first insertion of a locus counts), and a genotype.
     """
     lo = min(amplicon.orf_start, amplicon.orf_end, *amplicon.expected())
     hi = max(amplicon.orf_start, amplicon.orf_end, *amplicon.expected())
@@ -192,4 +192,4 @@ def extract(reads: DataFrame, amplicon: Amplicon, max_drops: int, min_quality: f
         .otherwise("ok")
     )
     ok = F.col("fate") == "ok"
-    return status.withColumn("fate", fate).select("read_id", "fate", F.when(ok, joined("readbase")).alias("combo"), F.when(ok, joined("qual")).alias("combo_qual"), F.when(ok, F.coalesce("geno", F.lit("="))).alias("geno"))
+    return status.withColumn("fate", fate).select("read_id", "fate", F.when(ok, F.transform("l", lambda x: x["readbase"])).alias("barcodes"), F.when(ok, joined("readbase")).alias("combo"), F.when(ok, joined("qual")).alias("combo_qual"), F.when(ok, F.coalesce("geno", F.lit("="))).alias("geno"))
