@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _pieces(seq: Column, k: int) -> Column:
-    """Array of (number, start, text) of the k + 1 pieces a sequence is cut into, as evenly as possible."""
+    """Array of (number, text, length of the whole) of the k + 1 pieces a sequence is cut into, as evenly as possible."""
     n, parts = F.length(seq), k + 1
     cut = lambda i: (n * i / parts).cast("int")
-    return F.array(*(F.struct(F.lit(i).alias("i"), (cut(i) + 1).alias("start"), F.substr(seq, cut(i) + 1, cut(i + 1) - cut(i)).alias("text"), n.alias("n")) for i in range(parts)))
+    return F.array(*(F.struct(F.lit(i).alias("i"), F.substr(seq, cut(i) + 1, cut(i + 1) - cut(i)).alias("text"), n.alias("n")) for i in range(parts)))
 
 
 def neighbors(left: DataFrame, right: DataFrame, k: int, same: bool = False) -> DataFrame:
@@ -17,7 +17,11 @@ def neighbors(left: DataFrame, right: DataFrame, k: int, same: bool = False) ->
 
     By the pigeonhole principle, one of the k + 1 pieces of b stands unchanged in a, moved by at most
     k. So pieces of the right side are joined by equality with the substrings of the left side that
-    could be one, and candidates are confirmed by ``levenshtein`` with a limit. Recall is complete. Pairs of
+    could be one, and candidates are confirmed by ``levenshtein`` with a limit. Recall is complete. Of the shifts only
+    those are tried that leave enough edits for the rest: piece i of k + 1 (from 0) may have moved by i at most, and,
+    seen from the other end, by k - i beyond the difference of the lengths.
+
+    The right side gives k + 1 rows a text, the left side more, so the larger one belongs right. Pairs of
     sequences that share a frequent piece are candidates; the join is skewed by such pieces at most in
     the number of distinct sequences, as each text is taken once.
 
@@ -26,22 +30,24 @@ def neighbors(left: DataFrame, right: DataFrame, k: int, same: bool = False) ->
     """
     lefts = left.select(F.col("seq").alias("a")).where("a IS NOT NULL").distinct()
     rights = right.select(F.col("seq").alias("b")).where("b IS NOT NULL").distinct()
-    pieces = rights.select("b", F.explode(_pieces(F.col("b"), k)).alias("p")).select("b", "p.i", "p.start", F.col("p.text").alias("piece"), F.col("p.n").alias("n"))
+    pieces = rights.select("b", F.explode(_pieces(F.col("b"), k)).alias("p")).select("b", "p.i", F.col("p.text").alias("piece"), F.col("p.n").alias("n"))
     # on the left side, for each length b may have and each shift, the substring where the piece would be
-    shifts = F.array(*(F.lit(x) for x in range(-k, k + 1)))
-    sizes = lefts.select("a", F.explode(F.transform(shifts, lambda d: F.length("a") + d)).alias("n")).where("n >= 0")
-    parts = k + 1
-    cut = lambda i: (F.col("n") * i / parts).cast("int")
-    spots = F.flatten(F.array(*(_spots(shifts, i, cut) for i in range(parts))))
-    probes = sizes.select("a", "n", F.explode(F.array_distinct(F.filter(spots, lambda s: (s["at"] >= 1) & (s["at"] + s["len"] - 1 <= F.length("a"))))).alias("s"))
+    longest = 0 if same else k  # of equal texts the longer one looks for the shorter one
+    sizes = lefts.select("a", F.explode(F.array(*(F.length("a") + d for d in range(-k, longest + 1)))).alias("n")).where("n >= 0")
+    spots = F.flatten(F.array(*(_spots(k, i) for i in range(k + 1))))
+    probes = sizes.select("a", "n", F.explode(F.filter(spots, lambda s: (s["at"] >= 1) & (s["at"] + s["len"] - 1 <= F.length("a")))).alias("s"))
     probes = probes.select("a", "n", "s.i", F.col("s.piece").alias("piece")).distinct()
-    pairs = probes.join(pieces.select("b", "i", "piece", "n"), ["i", "piece", "n"])
-    pairs = pairs.where("a < b") if same else pairs
-    return pairs.select("a", "b").distinct().withColumn("dist", F.levenshtein("a", "b", k)).where("dist >= 0")
+    pairs = probes.join(pieces, ["i", "piece", "n"]).select("a", "b")
+    if same:
+        pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.distinct().withColumn("dist", F.levenshtein("a", "b", k)).where("dist >= 0")
 
 
-def _spots(shifts: Column, i: int, cut) -> Column:
-    width = cut(i + 1) - cut(i)
+def _spots(k: int, i: int) -> Column:
+    """Where piece i of a text b of length n may stand in a: array of (i, piece, at, len)."""
+    cut = lambda j: (F.col("n") * j / (k + 1)).cast("int")
+    width, extra = cut(i + 1) - cut(i), F.length("a") - F.col("n")
+    shifts = F.filter(F.array(*(F.lit(d) for d in range(-i, i + 1))), lambda d: F.abs(d - extra) <= k - i)
     return F.transform(shifts, lambda d: F.struct(F.lit(i).alias("i"), F.substr(F.col("a"), cut(i) + 1 + d, width).alias("piece"), (cut(i) + 1 + d).alias("at"), width.alias("len")))
 
 
@@ -50,7 +56,7 @@ def nearest(queries: DataFrame, library: DataFrame, k: int) -> DataFrame:
 
     ``nhits`` counts the library texts at that distance; ``hit`` is null where there are several.
     """
-    pairs = neighbors(queries, library, k)
+    pairs = neighbors(library, queries, k).select(F.col("b").alias("a"), F.col("a").alias("b"), "dist")
     best = pairs.groupBy(F.col("a").alias("seq")).agg(F.min("dist").alias("diffs"))
     hits = pairs.join(best, (pairs["a"] == best["seq"]) & (pairs["dist"] == best["diffs"]))
     out = hits.groupBy("seq", "diffs").agg(F.count(F.lit(1)).alias("nhits"), F.min("b").alias("hit"))

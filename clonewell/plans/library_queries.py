@@ -32,7 +32,7 @@ _W = B.with_tables
 @query(_W("ln") + "SELECT DISTINCT seq, reverse(translate(seq, 'ACGT', 'TGCA')) AS revcomp, length(seq) AS len FROM ln WHERE seq IS NOT NULL")
 def reverse_complement(spark: SparkSession, folder: str) -> DataFrame:
     seqs = B.lines(spark, folder).where("seq IS NOT NULL").select("seq").distinct()
-    return seqs.select("seq", S.reverse_complement(F.col("seq")).alias("revcomp"), F.length("seq").alias("len"))
+    return seqs.select("seq", S.reverse_complement(F.col("seq")).alias("revcomp"), F.length("seq").cast("bigint").alias("len"))
 
 
 @query(
@@ -108,7 +108,7 @@ def between_flanks(spark: SparkSession, folder: str) -> DataFrame:
 def excise_and_locate(spark: SparkSession, folder: str) -> DataFrame:
     s, part = F.col("seq"), F.lit("GTC")
     rows = B.lines(spark, folder).where("seq IS NOT NULL")
-    return rows.select("line_id", S.first_position(s, part).alias("first_at"), S.last_position(s, part).alias("last_at"), S.without(s, part).alias("excised"))
+    return rows.select("line_id", S.first_position(s, part).cast("bigint").alias("first_at"), S.last_position(s, part).cast("bigint").alias("last_at"), S.without(s, part).alias("excised"))
 
 
 @query(_W("virt") + "SELECT mv AS movie, hl AS hole, up, virtual, loci, CASE WHEN up IS NOT NULL THEN substr(virtual, length(up) + 1) END AS down FROM virt")
