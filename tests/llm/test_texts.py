@@ -121,13 +121,15 @@ def test_shares_are_reached_within_a_document(spark, chunk, fan_in):
     assert chosen.groupBy("doc_id").count().where("count > 1").count() == 0
 
 
-def test_choice_is_fair(spark):
-    rows = [(k, "a", n, "") for k, n in enumerate([10, 20, 30, 40] * 25)] + [(1000, "b", 1000, "")]
+def test_choice_is_fair():
+    size = np.repeat([900.0, 40.0, 30.0, 20.0, 10.0], 20)
     times = np.zeros(100)
-    for seed in range(30):
-        chosen, _ = mixture(spark, rows, [("a", 0.5, 1), ("b", 0.5, 1)], total=2000.0, seed=seed)
-        times[[r.doc_id for r in chosen.where("source = 'a'").collect()]] += 1
-    assert abs(times.mean() / 30 - 0.4) < 0.03 and times.max() < 25 and times.min() > 2
+    for seed in range(4000):
+        p, at = M._settle(size, 0.4, r := np.random.default_rng(seed))
+        if at >= 0:
+            p[at] = r.random() < p[at]
+        times += p
+    assert abs(times / 4000 - 0.4).max() < 0.04 and abs(times.mean() / 4000 - 0.4) < 0.005
 
 
 def test_mixture_edges(spark):
