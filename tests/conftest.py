@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from clonewell.session import local_spark
 
-    s = local_spark(4, partitions=4)
+    s = local_spark(8, partitions=2)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
