@@ -129,7 +129,7 @@ def test_choice_is_fair():
         if at >= 0:
             p[at] = r.random() < p[at]
         times += p
-    assert abs(times / 4000 - 0.4).max() < 0.04 and abs(times.mean() / 4000 - 0.4) < 0.005
+    assert abs(times / 4000 - 0.4).max() < 0.04 and abs(times.mean() / 4000 - 0.4) < 0.016  # four standard errors
 
 
 def test_mixture_edges(spark):
