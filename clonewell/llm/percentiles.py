@@ -28,7 +28,9 @@ def value_counts(df: DataFrame, keys: dict[str, Column], value: Column, weight:
         v = F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * F.exp(F.round(F.log(F.abs(F.nullif(v, F.lit(0.0)))) / step) * step))
     n = F.lit(1) if weight is None else weight
     rows = df.select(*(c.alias(k) for k, c in keys.items()), v.alias("value"), n.cast("bigint").alias("n"))
-    return rows.where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")) & (F.col("n") > 0)).groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+    if dict(rows.dtypes)["value"] in ("double", "float"):
+        rows = rows.where(~F.isnan("value"))
+    return rows.where((F.col("value").isNotNull()) & (F.col("n") > 0)).groupBy(*keys, "value").agg(F.sum("n").alias("n"))
 
 
 def merge_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:

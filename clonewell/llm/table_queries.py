@@ -43,9 +43,8 @@ def p1_records(spark: SparkSession, folder: str) -> DataFrame:
 def p2_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "barcode_lines").where(usable_qual(F.col("qual"), F.col("bclen")))
     bases = lines.select(movie_of(F.col("read_id")).alias("movie"), "bcid", F.to_date("loaded_at").alias("day"), F.explode(F.split("qual", "")).alias("base"))
-    days = value_counts(bases, {c: F.col(c) for c in ("movie", "bcid", "day", "base")}, F.lit(0)).drop("value")  # the daily summary
-    phred = value_counts(days, {c: F.col(c) for c in ("movie", "bcid", "day")}, F.ascii("base") - 33, F.col("n"))
-    out = percentiles(merge_counts(phred, ["movie", "bcid"]), ["movie", "bcid"], FRACTIONS)
+    days = value_counts(bases, {c: F.col(c) for c in ("movie", "bcid", "day")}, F.ascii("base") - 33)  # a summary of each day, as it would be kept
+    out = percentiles(merge_counts(days, ["movie", "bcid"]), ["movie", "bcid"], FRACTIONS)
     return out.select("movie", "bcid", "fraction", F.col("value").alias("phred"), F.col("total").alias("n_bases"))
 
 
