@@ -27,7 +27,7 @@ def replicate_stats(freqs: DataFrame, samples: DataFrame) -> DataFrame:
     reps = samples.groupBy("assay", "cond").agg(F.count(F.lit(1)).alias("k"))
     rows = freqs.select("lib_row").distinct()
     sums = freqs.groupBy("lib_row", "assay", "cond").agg(F.sum("freq").alias("s"), F.sum(F.col("freq") * F.col("freq")).alias("ss"), F.sum("n").alias("sn"))
-    grid = rows.crossJoin(F.broadcast(reps))  # one row per condition: bounded by the sample sheet
+    grid = rows.crossJoin(small(reps))  # one row per condition of the sample sheet
     full = grid.join(sums, ["lib_row", "assay", "cond"], "left").fillna(0, ["s", "ss", "sn"])
     mean, k = F.col("s") / F.col("k"), F.col("k")
     variance = F.greatest((F.col("ss") - k * mean * mean) / F.nullif(k - 1, F.lit(0)), F.lit(0.0))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clonewell.session import small
+
 CALLS = "read_id string, geno string"
 DISTANCES = "query_id bigint, ref_id bigint, mismatch int, indel int, dist int"
 CLUSTERS = "virtual string, up string, reads string, size bigint, geno string"
@@ -52,7 +54,7 @@ def with_sample(reads: DataFrame, samples: DataFrame, column: str = "file") -> D
     """``reads`` with ``sample`` and ``mate`` (1 or 2) by their file's name: the sample's name up to ``_R1`` or ``_R2``, compared whole."""
     base = F.element_at(F.split(F.col(column), "/"), -1)
     named = reads.withColumn("sample", F.regexp_extract(base, r"^(.+?)(?:_S\d+)?(?:_L\d+)?_R[12]", 1)).withColumn("mate", F.regexp_extract(base, r"_R([12])", 1).cast("int"))
-    return named.join(F.broadcast(samples.select("sample").distinct()), "sample", "left_semi")  # a sample sheet
+    return named.join(small(samples.select("sample").distinct()), "sample", "left_semi")
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
