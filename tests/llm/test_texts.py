@@ -255,3 +255,11 @@ def test_training_keeps_quotations_and_drops_garbled_lines():
     m = G.train(pd.DataFrame(rows, columns=["doc_id", "lang", "line"]), G.Settings())
     runs = {c[1] for c in m.known}
     assert "é" in runs and "Ã©" in runs and "Ã¨" not in runs
+
+
+def test_languages_outside_the_sample_are_known(spark, corpus):
+    greek = "Το κατώφλι {n} είναι μικρό, άρα το ελέγχουμε ξανά."
+    docs = [*corpus, *((2000 + k, "el", greek.format(n=k)) for k in range(3)), (2100, "el", lenient(greek.format(n=9).encode(), "latin-1"))]
+    df = spark.createDataFrame(docs, "doc_id bigint, lang string, text string")
+    got = G.find_garbled(df, F.col("doc_id"), F.col("text"), F.col("lang"), G.Settings(sample_docs=40)).collect()
+    assert {r.doc_id: r.restored for r in got} == {2100: greek.format(n=9)}
