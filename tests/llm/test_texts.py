@@ -263,3 +263,16 @@ def test_languages_outside_the_sample_are_known(spark, corpus):
     df = spark.createDataFrame(docs, "doc_id bigint, lang string, text string")
     got = G.find_garbled(df, F.col("doc_id"), F.col("text"), F.col("lang"), G.Settings(sample_docs=40)).collect()
     assert {r.doc_id: r.restored for r in got} == {2100: greek.format(n=9)}
+
+
+def test_words_that_occur_nowhere_else_are_restored(spark, corpus):
+    greek = "Το κατώφλι 5 είναι μικρό, άρα το ελέγχουμε ξανά."
+    got = garbled(spark, [*corpus, (1, "el", lenient(greek.encode(), "latin-1")), (2, "el", "x = 1 # " + greek)])
+    assert {k: r.restored for k, r in got.items()} == {1: greek}
+
+
+@pytest.mark.parametrize("right", [" 😀", " Für größere Tabellen ist das zu früh.", " “café”"])
+def test_correct_text_beside_garbled_text(spark, corpus, right):
+    text = CLEAN["fr"].format(n=7)
+    got = garbled(spark, [*corpus, (1, "fr", lenient(text.encode(), "cp1252") + right), (2, "fr", text + right), (3, "fr", "`Ã©` stands for `é` in the café’s note")])
+    assert {k: r.restored for k, r in got.items()} == {1: text + right}
