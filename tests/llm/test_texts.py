@@ -276,3 +276,12 @@ def test_correct_text_beside_garbled_text(spark, corpus, right):
     text = CLEAN["fr"].format(n=7)
     got = garbled(spark, [*corpus, (1, "fr", lenient(text.encode(), "cp1252") + right), (2, "fr", text + right), (3, "fr", "`Ã©` stands for `é` in the café’s note")])
     assert {k: r.restored for k, r in got.items()} == {1: text + right}
+
+
+def test_copies_of_a_garbled_text_are_found(spark, corpus):
+    text = "\n".join(CLEAN["fr"].format(n=n) for n in (3, 44, 555, 6666))
+    copies = [(7000 + k, "fr", lenient(text.encode(), "mac_roman")) for k in range(160)]  # a third of all rows
+    single = "\n".join(CLEAN["ru"].format(n=n) for n in (3, 44, 555, 6666))
+    copies += [(8000 + k, "ru", lenient(single.encode("cp1251"), "koi8-r")) for k in range(160)]
+    got = garbled(spark, [*corpus, *copies])
+    assert {k: r.restored for k, r in got.items()} == {k: text if k < 8000 else single for k, _, _ in copies}
