@@ -94,9 +94,10 @@ def variant_estimates(clones: DataFrame, replicates: int) -> DataFrame:
 
     ``single`` joins the clones with that mutation only, ``multi`` all clones with it. ``inferred``
     divides a multi-mutant clone's score by the product of the single scores of its other
-    mutations, if all of these are known and not 0, and joins those quotients.
+    mutations, if all of these are known and not 0, and joins those quotients. A column ``k`` tells the
+    number of changes of a clone where ``muts`` doesn't list all; such clones give no quotient.
     """
-    each = clones.where(finite(F.col("score"))).select("clone", "score", "sd", F.size("muts").alias("k"), F.explode(F.array_distinct("muts")).alias("mut"))
+    each = clones.where(finite(F.col("score"))).select("clone", "score", "sd", (F.col("k") if "k" in clones.columns else F.size("muts")).alias("k"), F.explode(F.array_distinct("muts")).alias("mut"))
     df = F.lit(replicates)
     names = ("score", "sd", "df")
 
@@ -106,7 +107,9 @@ def variant_estimates(clones: DataFrame, replicates: int) -> DataFrame:
     single = joined(each.where("k = 1"), "single")
     multi = joined(each, "multi")
     known = single.where((F.col("score_single") != 0) & finite(F.col("score_single"))).select("mut", F.col("score_single").alias("s"), F.col("sd_single").alias("e"))
-    with_single = each.where("k > 1").join(known, "mut", "left")
+    listed = clones.where(F.col("k") == F.size("muts")).select("clone") if "k" in clones.columns else None
+    several = each.where("k > 1") if listed is None else each.where("k > 1").join(listed, "clone", "left_semi")
+    with_single = several.join(known, "mut", "left")
     # of each clone: product and relative variance over all its mutations; the own one is divided out again
     ok = F.col("s").isNotNull()
     per_clone = with_single.groupBy("clone").agg(

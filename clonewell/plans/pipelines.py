@@ -59,6 +59,11 @@ def _with_quality(geno):
     return F.array_join(F.transform(F.split(geno, ";"), lambda x: F.concat(x, F.lit(":0"))), ";")
 
 
+def _is_stop(change):
+    """``W5*``, but not the unchanged stop ``*20=``."""
+    return change.rlike(r"\*$|Ter$")
+
+
 @dataclass(frozen=True)
 class Assay:
     """``counts``: sample, fate, hit, n. ``ratios`` and ``scores`` by library barcode and condition. ``variants`` and ``joint`` by amino-acid change."""
@@ -70,20 +75,31 @@ class Assay:
     joint: DataFrame
 
 
-def score_assay(barcodes: DataFrame, lib: DataFrame, samples: DataFrame, assay: str, cond: str, max_errors: int = 1, min_freq: float = 0.0) -> Assay:
+def score_assay(barcodes: DataFrame, lib: DataFrame, samples: DataFrame, assay: str, cond: str, max_errors: int = 1, min_freq: float = 0.0, bottleneck: float | None = None) -> Assay:
     """Scores of one condition of an assay from read barcodes (``sample, read_id, barcode``) and a library (``barcode, aa_changes, hgvs_p``).
 
-    Wild-type rows are those without amino-acid changes, null rows those with a stop or frameshift.
+    Wild-type rows are those without amino-acid changes, null rows those whose ``hgvs_p`` ends in ``Ter``. With
+    ``bottleneck``, controls need that mean count in all conditions of the assay, clones in the one scored.
+    A clone with a stop counts for its stops only.
     """
     counts = stage(caller.call_reads(barcodes, lib.select(F.col("barcode").alias("seq")), max_errors), "hits")
     hits = counts.where("fate = 'hit'").select(F.col("hit").alias("lib_row"), "sample", "n")
     stats = stage(enrich.replicate_stats(enrich.frequencies(hits, samples), samples), "stats")
     lrs = stage(enrich.log_ratios(stats, enrich.pseudocount(stats)), "ratios")
     known = lrs.join(lib.select(F.col("barcode").alias("lib_row"), "aa_changes", "hgvs_p"), "lib_row")
-    medians = enrich.control_medians(known, F.col("aa_changes") == "WT", F.col("hgvs_p").rlike("Ter|fs"), min_freq)
+    if bottleneck is not None:
+        wide = stats.groupBy("lib_row", "assay").agg(F.bool_and(F.col("mean_count") >= bottleneck).alias("wide"))
+        known = known.join(wide.where("wide").select("lib_row", "assay"), ["lib_row", "assay"], "left_semi")
+    medians = enrich.control_medians(known, F.col("aa_changes") == "WT", F.col("hgvs_p").rlike(r"Ter\]?$"), min_freq)
     scores = stage(enrich.scores(lrs, medians), "scores")
     chosen = enrich.passing(scores.where((F.col("assay") == assay) & (F.col("cond") == cond)), min_freq)
+    if bottleneck is not None:
+        counted = stats.where((F.col("assay") == assay) & (F.col("cond") == cond) & (F.col("mean_count") >= bottleneck))
+        chosen = chosen.join(counted.select("lib_row"), "lib_row", "left_semi")
     clones = chosen.join(lib.select(F.col("barcode").alias("lib_row"), "aa_changes"), "lib_row").where(~F.col("aa_changes").contains("fs"))
-    muts = clones.select(F.col("lib_row").alias("clone"), F.split(F.when(F.col("aa_changes") == "WT", "=").otherwise(F.col("aa_changes")), "\\|").alias("muts"), "score", "sd")
+    parts = F.split(F.when(F.col("aa_changes") == "WT", "=").otherwise(F.col("aa_changes")), "\\|")
+    stops = F.filter(parts, _is_stop)
+    # a stop hides the other changes; a clone of a stop and others isn't a single mutant, so it keeps its number of changes
+    muts = clones.select(F.col("lib_row").alias("clone"), F.when(F.size(stops) > 0, stops).otherwise(parts).alias("muts"), F.size(parts).alias("k"), "score", "sd")
     variants = stage(enrich.variant_estimates(stage(muts, "muts"), samples.select("replicate").distinct().count()), "variants")
     return Assay(counts, lrs, scores, variants, enrich.joint_table(variants))

@@ -58,3 +58,10 @@ def test_one_replicate_has_no_sd(spark):
     assert [r.sd for r in E.replicate_stats(E.frequencies(counts, samples), samples).collect()] == [None, None]
     empty = counts.limit(0)
     assert E.replicate_stats(E.frequencies(empty, samples), samples).collect() == []
+
+
+def test_a_clone_with_a_stop_counts_for_the_stop_only(spark):
+    data = [("s", ["W5*"], 2, 0.1, 0.1), ("m", ["A2V"], 1, 0.8, 0.1)]
+    clones = spark.createDataFrame(data, "clone string, muts array<string>, k int, score double, sd double")
+    est = {r.mut: r for r in E.variant_estimates(clones, 2).collect()}
+    assert est["W5*"].score_single is None and est["W5*"].score_multi == 0.1 and est["A2V"].score_multi == 0.8
