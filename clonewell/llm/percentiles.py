@@ -34,7 +34,7 @@ def value_counts(df: DataFrame, keys: dict[str, Column], value: Column, weight:
 
 
 def merge_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The summary of several summaries' union, over fewer keys than they had, such as without the day."""
+    """The summary of several summaries' union, over fewer keys than they had, such as without the day; repeated summaries count as often as they stand."""
     return counts.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
 
 
@@ -45,7 +45,8 @@ def percentiles(counts: DataFrame, keys: Sequence[str], fractions: Sequence[str
     stretch of a group by a window, and the groups' subtotals of the partitions before are added to
     it. A group of any number of distinct values is spread over as many partitions as its share, and
     the subtotals are at most one row per group and partition. The ranged rows are staged once, so
-    that subtotals and running sums see the same partitions even when tasks are run again.
+    that subtotals and running sums see the same partitions even when tasks are run again. A value may stand in several
+    rows, as in the union of several days' summaries: running sums go row by row.
 
     Fractions lie in (0, 1]; they are taken as decimals, so that 0.95 of 20 rows is rank 19. Empty
     input gives no rows. Null keys are groups.
@@ -64,7 +65,7 @@ def percentiles(counts: DataFrame, keys: Sequence[str], fractions: Sequence[str
         .agg(F.sum("n").alias("_sub"))
         .select(*keys, "_part", (F.sum("_sub").over(before) - F.col("_sub")).alias("_offset"), F.sum("_sub").over(W.partitionBy(*keys)).alias("total"))
     )
-    running = F.sum("n").over(W.partitionBy("_part", *keys).orderBy("value"))
+    running = F.sum("n").over(W.partitionBy("_part", *keys).orderBy("value").rowsBetween(W.unboundedPreceding, 0))
     same = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
     summed = ranged.withColumn("_run", running).alias("r").join(offsets.alias("o"), [F.col("r._part") == F.col("o._part"), *same])
     upto = F.col("_offset") + F.col("_run")

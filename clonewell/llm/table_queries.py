@@ -9,7 +9,7 @@ from clonewell.llm.frequent import frequent_items
 from clonewell.llm.percentiles import merge_counts, percentiles, value_counts
 from clonewell.llm.star_components import star_components
 from clonewell.llm.survivors import surviving_records, surviving_values
-from clonewell.session import small, table
+from clonewell.session import small, stage, table
 
 FRACTIONS = ("0.01", "0.05", "0.25", "0.5", "0.75", "0.95", "0.99")
 
@@ -40,10 +40,17 @@ def p1_records(spark: SparkSession, folder: str) -> DataFrame:
     return surviving_records(_ranked(spark, folder, "barcode_lines"), _line_keys(), F.col("line_id"), fields, F.col("trust_rank"), F.col("called_at"))
 
 
-def p2_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+def _daily_qualities(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary of each day's usable qualities, as it would be kept: ``movie, bcid, day, value, n``."""
     lines = table(spark, folder, "barcode_lines").where(usable_qual(F.col("qual"), F.col("bclen")))
-    bases = lines.select(movie_of(F.col("read_id")).alias("movie"), "bcid", F.to_date("loaded_at").alias("day"), F.explode(F.split("qual", "")).alias("base"))
-    days = value_counts(bases, {c: F.col(c) for c in ("movie", "bcid", "day")}, F.ascii("base") - 33)  # a summary of each day, as it would be kept
+    # keys are made once per line, below the generator, which then repeats them for each base
+    keyed = lines.select(movie_of(F.col("read_id")).alias("movie"), "bcid", F.to_date("loaded_at").alias("day"), "qual")
+    bases = keyed.select("movie", "bcid", "day", F.explode(F.split("qual", "")).alias("base"))
+    return value_counts(bases, {c: F.col(c) for c in ("movie", "bcid", "day")}, F.ascii("base") - 33)
+
+
+def p2_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    days = stage(_daily_qualities(spark, folder), "days")
     out = percentiles(merge_counts(days, ["movie", "bcid"]), ["movie", "bcid"], FRACTIONS)
     return out.select("movie", "bcid", "fraction", F.col("value").alias("phred"), F.col("total").alias("n_bases"))
 
