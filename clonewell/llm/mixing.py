@@ -118,41 +118,13 @@ def _pivotal(size: np.ndarray, p: np.ndarray, random: np.random.Generator) -> tu
     return np.array(p), at
 
 
-def _settle(size: np.ndarray, q: float, random: np.random.Generator) -> tuple[np.ndarray, int]:
-    """Rounds units of one common probability q, ordered by falling size; returns as ``_pivotal`` does.
-
-    Each unit is paired with all that follow it, taken as one unit: its mass goes to them or comes from them,
-    and their common probability moves accordingly. So large units are settled while there is mass
-    to settle them with, and what is left over is one of the smallest.
-    """
-    p, rest = np.zeros(len(size)), float(size.sum())
-    draws = random.random(len(size))
-    for k, t in enumerate(size.tolist()):
-        rest -= t
-        if q < 1e-9 or q > 1 - 1e-9:
-            p[k:] = round(q)
-            return p, -1
-        if rest < 1e-6:
-            p[k] = q
-            return p, k
-        up, down = min((1 - q) * t, q * rest), min(q * t, (1 - q) * rest)
-        move = up if draws[k] * (up + down) < down else -down
-        p[k], q = q + move / t, q - move / rest
-        if 1e-9 < p[k] < 1 - 1e-9:  # the rest is used up
-            p[k + 1 :] = round(q)
-            return p, k
-        p[k] = round(p[k])
-    return p, -1
-
-
 def _rounding(seed: int, level: int, last: bool):
     """Rounds one bucket of one source; at the last level also the unit that is left."""
 
     def rounded(key: tuple, unit: pd.DataFrame) -> pd.DataFrame:
         unit = unit.sort_values(["n_tokens", "doc_id"], ascending=[False, True], kind="stable").reset_index(drop=True)
         random = np.random.default_rng([seed, level, int(key[1]), *key[0].encode()])
-        size, p = unit["n_tokens"].to_numpy(float), unit["p"].to_numpy(float)
-        p, at = _settle(size, p[0], random) if level == 0 else _pivotal(size, p, random)
+        p, at = _pivotal(unit["n_tokens"].to_numpy(float), unit["p"].to_numpy(float), random)
         if last and at >= 0:
             p[at] = float(random.random() < p[at])
         return unit.assign(p=p)
@@ -160,7 +132,7 @@ def _rounding(seed: int, level: int, last: bool):
     return rounded
 
 
-_UNIT = "source string, doc_id bigint, n_tokens bigint, base int, p double, bucket bigint"
+_UNIT = "source string, doc_id bigint, n_tokens bigint, times bigint, base bigint, p double, bucket bigint"
 
 
 def mix_sources(tokens: DataFrame, plan: DataFrame, seed: int = 11, chunk: int = CHUNK, fan_in: int = FAN_IN) -> DataFrame:
@@ -170,22 +142,26 @@ def mix_sources(tokens: DataFrame, plan: DataFrame, seed: int = 11, chunk: int =
     the fraction with that probability. Pivotal rounding pairs two fractional units and moves
     token mass from one to the other, in the direction drawn with the odds that keep both expectations,
     until one of them is 0 or 1. The pair's mass (tokens x probability) doesn't change, so a source
-    ends within one document of its target. In a bucket the partner of a document is the whole of the
-    smaller ones, so that the document left over is a small one.
+    ends within one document of its target. Units are taken in order of falling size, so those paired are alike.
 
     Scale: documents are hashed into buckets of about ``chunk``, so a source with a third of all rows
     is spread over its buckets. A bucket leaves at most one fractional document; those of ``fan_in``
     buckets are combined in the next level, until one per source is left, which is rounded by its
     probability. Draws depend only on the seed, level, source and bucket, and units are taken in order
-    of size and id, so a repeated task gives the same rows.
+    of size and id, so a repeated task gives the same rows. Rows alike are counted before, by a map-side aggregate, so that an
+    id that stands in very many rows is one unit; its uses are spread evenly over its rows.
 
-    Null sources, and those without target, share or room, are not used. Documents without tokens are
-    never chosen. Repeated rows are documents of their own. Empty tables give no rows.
+    ``plan`` is read several times; it has one row per source and should be staged. Null sources, and those without target,
+    share or room, are not used. Documents without tokens are never chosen. Repeated rows are documents of their own.
+    Empty tables give no rows.
     """
-    known = tokens.where("n_tokens > 0 AND doc_id IS NOT NULL").select("doc_id", "source", "n_tokens").join(small(plan.where("copies > 0").select("source", "copies", "n_docs")), "source")
+    known = tokens.where("n_tokens > 0 AND doc_id IS NOT NULL").groupBy("doc_id", "source", "n_tokens").agg(F.count(F.lit(1)).alias("times"))
+    known = known.join(small(plan.where("copies > 0").select("source", "copies", "n_docs")), "source")
+    uses = F.col("copies") * F.col("times")
+    uses = F.when(F.abs(uses - F.round(uses)) < 1e-9, F.round(uses)).otherwise(uses)
     buckets = F.ceil(F.col("n_docs") / chunk)
     units = known.select(
-        "source", "doc_id", "n_tokens", F.floor("copies").cast("int").alias("base"), (F.col("copies") - F.floor("copies")).alias("p"), F.pmod(F.xxhash64("doc_id", F.lit(seed)), buckets).alias("bucket")
+        "source", "doc_id", "n_tokens", "times", F.floor(uses).alias("base"), (uses - F.floor(uses)).alias("p"), F.pmod(F.xxhash64("doc_id", F.lit(seed)), buckets).alias("bucket")
     )
     most = plan.agg(F.max("n_docs")).first()[0] or 0
     levels = [1] if most <= chunk else [1, *([fan_in] * int(np.ceil(np.log(most / chunk + 1) / np.log(fan_in))))]
@@ -195,8 +171,9 @@ def mix_sources(tokens: DataFrame, plan: DataFrame, seed: int = 11, chunk: int =
         units = stage(units, "rounded")
         done.append(units.where("p IN (0, 1)"))
         units = units.where("p > 0 AND p < 1")
-    chosen = reduce(DataFrame.unionByName, done)
-    return chosen.select("doc_id", "source", "n_tokens", (F.col("base") + F.col("p").cast("int")).alias("copies")).where("copies > 0")
+    chosen = reduce(DataFrame.unionByName, done).withColumn("uses", F.col("base") + F.col("p").cast("int")).where("uses > 0")
+    each = chosen.select("doc_id", "source", "n_tokens", "uses", "times", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("uses", "times"))).alias("k"))
+    return each.select("doc_id", "source", "n_tokens", (F.floor(F.col("uses") / F.col("times")) + (F.col("k") <= F.col("uses") % F.col("times")).cast("int")).cast("int").alias("copies"))
 
 
 def reached_shares(chosen: DataFrame, targets: DataFrame) -> DataFrame:

@@ -87,6 +87,20 @@ def test_percentiles_exact_and_merged_over_days(spark):
             assert got[key, f] == (rank_of(vals, f), len(vals))
 
 
+def test_percentiles_of_stored_days_that_were_not_merged(spark, tmp_path):
+    r = random.Random(8)
+    rows = [(d, r.randint(0, 6)) for d in range(5) for _ in range(200)]
+    for d in range(5):  # each day's summary is stored when it comes
+        day = spark.createDataFrame([x for x in rows if x[0] == d], "d int, v int")
+        value_counts(day, {"g": F.lit("x"), "d": F.col("d")}, F.col("v")).write.parquet(str(tmp_path / f"day={d}"))
+    stored = spark.read.parquet(*(str(tmp_path / f"day={d}") for d in range(5)))
+    for counts in (stored, merge_counts(stored, ["g"])):
+        got = {x.fraction: (x.value, x.total) for x in percentiles(counts, ["g"], [0.1, 0.5, 0.99]).collect()}
+        assert got == {f: (rank_of([v for _, v in rows], f), 1000) for f in (0.1, 0.5, 0.99)}
+    three = percentiles(stored.where("d < 3"), ["g"], [0.5]).collect()
+    assert [(x.value, x.total) for x in three] == [(rank_of([v for d, v in rows if d < 3], 0.5), 600)]
+
+
 def test_percentile_error_is_bounded(spark):
     df = spark.range(1, 20001).select((F.col("id") * F.col("id")).cast("double").alias("v"))
     counts = value_counts(df, {"g": F.lit(1)}, F.col("v"), relative_error=0.01)
@@ -158,6 +172,32 @@ def test_frequent_items_with_too_many_prefixes_to_broadcast(spark, monkeypatch):
     assert [(x["item"], x["n"]) for x in frequent_items(df, F.col("item"), k=5, levels=(6, 12)).collect()] == want
 
 
+@pytest.mark.parametrize("named", [0, 7, 10_000])
+def test_frequent_items_of_a_flat_head(spark, monkeypatch, named):
+    """All prefixes are kept; nothing depends on how many items are named."""
+    import clonewell.llm.frequent as f
+
+    monkeypatch.setattr(f, "NAMED", named)
+    df = spark.range(40_000).select((F.col("id") % 2000).cast("string").alias("item")).unionByName(spark.range(5).select(F.lit("7").alias("item")))
+    want = sorted(Counter(r[0] for r in df.collect()).items(), key=lambda x: (-x[1], x[0]))[:30]
+    assert [(x["item"], x["n"]) for x in frequent_items(df, F.col("item"), k=30, levels=(4, 8, 22)).collect()] == want
+
+
+def test_no_raw_rows_are_shuffled(spark):
+    """Whatever is exchanged, between tasks or to all of them, are aggregates."""
+    import clonewell.llm.frequent as f
+
+    rows = spark.range(1000).select((F.col("id") % 9).cast("string").alias("item")).withColumn("_h", F.xxhash64("item"))
+    kept = f._count(rows, None, 10).where("n > 100")
+    below = f._keep(rows, kept, 10)
+    for df in (below, f._count(below, kept.limit(5).select(F.col("rep").alias("_named")), 20), f._items(below, 1, None)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        shuffles = [k for k, x in enumerate(lines) if "Exchange hashpartitioning" in x or "Exchange SinglePartition" in x]
+        assert "SortMergeJoin" not in plan and "SortAggregate" not in plan and shuffles
+        assert all("Aggregate" in lines[k + 1] or "Limit" in lines[k + 1] or "Range" in lines[k + 2] for k in shuffles), plan
+
+
 def test_frequent_items_edges(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("",)], "item string")
     assert [(x["item"], x["n"]) for x in frequent_items(df, F.col("item"), k=2).collect()] == [("", 1), ("a", 1)]

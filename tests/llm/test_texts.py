@@ -125,13 +125,29 @@ def test_choice_is_fair():
     size = np.repeat([900.0, 40.0, 30.0, 20.0, 10.0], 20)
     times = np.zeros(100)
     for seed in range(4000):
-        p, at = M._settle(size, 0.4, r := np.random.default_rng(seed))
+        p, at = M._pivotal(size, np.full(100, 0.4), r := np.random.default_rng(seed))
         if at >= 0:
             p[at] = r.random() < p[at]
         times += p
     assert abs(times / 4000 - 0.4).max() < 0.04 and abs(times.mean() / 4000 - 0.4) < 0.016  # four standard errors
 
 
+def test_units_are_paired_two_at_a_time():
+    """A document that outweighs its bucket doesn't make the rest go all in or all out."""
+    size, p = np.array([1000.0] + [1.0] * 100), np.full(101, 0.5)
+    taken = [M._pivotal(size, p, np.random.default_rng(seed))[0][1:] for seed in range(300)]
+    assert all(0 < t.sum() < 100 for t in taken)
+    together = np.mean([t[0] * t[1] for t in taken])  # neighbours are paired with the large one in turn, not with each other
+    assert 0.1 < together < 0.4
+
+
+def test_one_id_in_very_many_rows(spark):
+    rows = [(1, "a", 3, "")] * 5000 + [(k, "a", 3, "") for k in range(2, 102)]
+    chosen, shares = mixture(spark, rows, [("a", 1.0, 1)], total=7650, chunk=40, fan_in=3)
+    assert abs(shares.where("source = 'a'").first().n_tokens - 7650) <= 3
+    assert abs(chosen.where("doc_id = 1").count() - 2500) <= 1 and chosen.where("copies <> 1").count() == 0
+
+
 def test_mixture_edges(spark):
     rows = [(1, "a", 5, ""), (1, "a", 5, ""), (2, None, 5, ""), (3, "z", 5, ""), (4, "a", 0, ""), (None, "a", 5, "")]
     chosen, shares = mixture(spark, rows, [("a", 0.7, 3), (None, 0.3, 1)])
@@ -150,7 +166,7 @@ def test_pivotal_keeps_the_mass():
         assert abs((out * size).sum() - (p * size).sum()) < 1e-6
         assert all(x in (0, 1) for k, x in enumerate(out) if k != at)
         size = np.sort(size)[::-1]
-        out, at = M._settle(size, 0.37, np.random.default_rng(n))
+        out, at = M._pivotal(size, np.full(n, 0.37), np.random.default_rng(n))
         assert abs((out * size).sum() - 0.37 * size.sum()) < 1e-6
         assert all(x in (0, 1) for k, x in enumerate(out) if k != at)
 
