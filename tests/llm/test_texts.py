@@ -277,7 +277,7 @@ def test_languages_outside_the_sample_are_known(spark, corpus):
     greek = "Το κατώφλι {n} είναι μικρό, άρα το ελέγχουμε ξανά."
     docs = [*corpus, *((2000 + k, "el", greek.format(n=k)) for k in range(3)), (2100, "el", lenient(greek.format(n=9).encode(), "latin-1"))]
     df = spark.createDataFrame(docs, "doc_id bigint, lang string, text string")
-    got = G.find_garbled(df, F.col("doc_id"), F.col("text"), F.col("lang"), G.Settings(sample_docs=40)).collect()
+    got = G.find_garbled(df, F.col("doc_id"), F.col("text"), F.col("lang"), G.Settings(sample_bytes=12_000)).collect()
     assert {r.doc_id: r.restored for r in got} == {2100: greek.format(n=9)}
 
 
@@ -301,3 +301,46 @@ def test_copies_of_a_garbled_text_are_found(spark, corpus):
     copies += [(8000 + k, "ru", lenient(single.encode("cp1251"), "koi8-r")) for k in range(160)]
     got = garbled(spark, [*corpus, *copies])
     assert {k: r.restored for k, r in got.items()} == {k: text if k < 8000 else single for k, _, _ in copies}
+
+
+@pytest.mark.parametrize("documents", [10**3, 10**9, 10**11, 10**15])
+def test_the_sample_never_vanishes(documents):
+    """As many bytes are drawn whatever the number of documents of 2,700 characters."""
+    wanted = G.Settings().sample_bytes
+    share = G.hash_bound(documents * 2_700, wanted) / 2**62
+    assert share == 1 if documents * 2_700 <= wanted else abs(share * documents * 2_700 / wanted - 1) < 1e-3
+
+
+def test_the_sample_is_bounded_by_its_bytes(spark):
+    lines = spark.range(20_000).select(F.concat(F.lit("é" * 20), F.col("id").cast("string")).alias("line"), F.lit("fr").alias("lang"))
+    small = G.Settings(sample_bytes=30_000)
+    drawn = G._sample(lines, G._usage(lines, small), small)
+    assert 20_000 < drawn["line"].str.len().sum() < 40_000
+    assert len(G._sample(lines, G._usage(lines, G.Settings()), G.Settings())) == 20_000
+
+
+def test_novel_correct_text_stays(spark, corpus):
+    """Correct text of which no dictionary knows a word: no reading is shorter by the width of its characters alone."""
+    texts = ["Привет, мир: новые слова, которых нигде нет!", "Ângela, Âncora, Ã, Õ: letras maiúsculas e ÇÃO", "Łódź, Gdańsk, Żywiec — źdźbło", "ΑΒΓ αβγ: άγνωστες λέξεις", "“kitron” ≈ ‘bodor’ – §5 €9", "Ørsted, Ærø, Ålborg", "東京と大阪の間で", "ÀÈÌÒÙ àèìòù"]
+    assert garbled(spark, [*corpus, *((5000 + k, None, t) for k, t in enumerate(texts))]) == {}
+
+
+def test_planted_texts_are_restored(spark, corpus):
+    """Each sentence garbled by each chain that its characters allow; the share restored exactly is stated in the README."""
+    docs, want = list(corpus), {}
+    for lang, clean in CLEAN.items():
+        for n, chain in enumerate(G.CHAINS):
+            text = clean.format(n=100 + n)
+            broken = text
+            try:
+                for written, read in chain:
+                    broken = lenient(broken.encode(written), read)
+            except UnicodeEncodeError:
+                continue
+            if broken != text and G._restore(broken, chain) == text:
+                docs.append((len(docs) + 10_000, lang, broken))
+                want[docs[-1][0]] = text
+    got = garbled(spark, docs)
+    right = sum(got[k].restored == t for k, t in want.items() if k in got)
+    print(f"{len(want)} planted, {len(set(got) & set(want))} found, {right} restored")
+    assert set(got) <= set(want) and right >= 0.95 * len(want) > 100
