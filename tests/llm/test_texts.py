@@ -35,8 +35,8 @@ def brute(docs, items, run=12):
     return out
 
 
-@pytest.mark.parametrize("block", [2_000_000, 600])
-def test_all_verbatim_leaks_are_found(spark, block):
+@pytest.mark.parametrize("sizes", [{}, {"group_chars": 2_000, "group_words": 40, "block_bytes": 20_000}])
+def test_all_verbatim_leaks_are_found(spark, sizes):
     r = random.Random(5)
     items = [(k, sentence(r, r.randint(9, 60))) for k in range(20)]
     docs = []
@@ -46,7 +46,7 @@ def test_all_verbatim_leaks_are_found(spark, block):
         at = r.randint(0, max(0, len(w) - n))
         part = ", ".join(x.upper() if r.random() < 0.3 else x for x in w[at : at + n])
         docs.append((d, f"{sentence(r, r.randint(0, 30))}. other-words {part}\n_{sentence(r, r.randint(0, 30))}"))
-    got = {(x.doc_id, x.item_id) for x in leaks(spark, docs, items, block_chars=block).where("verbatim").collect()}
+    got = {(x.doc_id, x.item_id) for x in leaks(spark, docs, items, **sizes).where("verbatim").collect()}
     want = brute(docs, items)
     assert got == want and len(want) > 20
 
@@ -265,11 +265,13 @@ def test_long_line(spark, corpus):
     assert garbled(spark, [*corpus, (1, "de", line)])[1].restored == CLEAN["de"].format(n=1) * 3000
 
 
-def test_training_keeps_quotations_and_drops_garbled_lines():
+def test_training_keeps_quotations_and_drops_garbled_lines(spark):
     rows = [(k, "fr", CLEAN["fr"].format(n=k)) for k in range(50)] + [(100 + k, "fr", lenient(CLEAN["fr"].format(n=k).encode(), "cp1252")) for k in range(5)]
     rows += [(200 + k, "fr", "the sign `Ã©` for `é`") for k in range(3)]
-    m = G.train(pd.DataFrame(rows, columns=["doc_id", "lang", "line"]), G.Settings())
-    runs = {c[1] for c in m.known}
+    lines = G._lines(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))
+    usage = G._usage(lines, G.Settings())
+    text = G.train(G._sample(lines, usage, G.Settings()), usage, {}, G.Settings()).dictionaries["fr"]
+    runs = set(G.RUN.findall(text))
     assert "é" in runs and "Ã©" in runs and "Ã¨" not in runs
 
 
@@ -315,8 +317,8 @@ def test_the_sample_is_bounded_by_its_bytes(spark):
     lines = spark.range(20_000).select(F.concat(F.lit("é" * 20), F.col("id").cast("string")).alias("line"), F.lit("fr").alias("lang"))
     small = G.Settings(sample_bytes=30_000)
     drawn = G._sample(lines, G._usage(lines, small), small)
-    assert 20_000 < drawn["line"].str.len().sum() < 40_000
-    assert len(G._sample(lines, G._usage(lines, G.Settings()), G.Settings())) == 20_000
+    assert 20_000 < drawn.agg(F.sum(F.length("line"))).first()[0] < 40_000
+    assert G._sample(lines, G._usage(lines, G.Settings()), G.Settings()).count() == 20_000
 
 
 def test_novel_correct_text_stays(spark, corpus):
