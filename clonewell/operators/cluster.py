@@ -29,7 +29,9 @@ def seed_clusters(reads: DataFrame, calls: DataFrame, min_jaccard: float = 0.2,
     reads without calls have none; a repeated call of a read counts by its highest quality.
 
     Reads of a barcode with the same likely calls form one state; only states that share a call are
-    compared, so the number of comparisons depends on the distinct states of a barcode, not its reads.
+    compared, so the number of comparisons depends on the distinct states of a barcode, not its reads. States of so few calls that a
+    single common one makes them similar (two, at 0.2) are linked to one of them for each call, not to each other; pairs are made only
+    where one of the two has more calls.
     """
     known = reads.where("barcode IS NOT NULL AND read_id IS NOT NULL").select("read_id", "barcode").distinct()
     one = calls.where("mut IS NOT NULL").groupBy("read_id", "mut").agg(F.max("q").alias("q"))
@@ -38,10 +40,14 @@ def seed_clusters(reads: DataFrame, calls: DataFrame, min_jaccard: float = 0.2,
     states = full.groupBy("barcode", "muts").agg(F.min("read_id").alias("state"), F.count(F.lit(1)).alias("n"))
     full = stage(full.join(states.select("barcode", "muts", "state"), ["barcode", "muts"]).select("read_id", "barcode", "state", "muts"), "states")
     each = full.where(F.col("read_id") == F.col("state")).select("barcode", "state", F.size("muts").alias("k"), F.explode("muts").alias("mut"))
+    most = _always_similar(min_jaccard) if min_matches <= 1 else 0
+    few = each.where(F.col("k") <= most)
+    stars = few.join(few.groupBy("barcode", "mut").agg(F.min("state").alias("b")), ["barcode", "mut"]).where("state <> b").select(F.col("state").alias("a"), "b")
     a, b = (each.select("barcode", "mut", F.col("state").alias(s), F.col("k").alias(f"k{s}")) for s in ("a", "b"))
-    shared = a.join(b, ["barcode", "mut"]).where("a < b").groupBy("a", "b", "ka", "kb").agg(F.count(F.lit(1)).alias("both"))
+    # the side with more calls is a; of two with many, the order of ids decides
+    shared = a.where(F.col("ka") > most).join(b, ["barcode", "mut"]).where((F.col("kb") <= most) | (F.col("a") < F.col("b"))).groupBy("a", "b", "ka", "kb").agg(F.count(F.lit(1)).alias("both"))
     union = F.col("ka") + F.col("kb") - F.col("both")
-    links = shared.where((F.col("both") / union > min_jaccard) & (F.col("both") >= min_matches)).select("a", "b")
+    links = shared.where((F.col("both") / union > min_jaccard) & (F.col("both") >= min_matches)).select("a", "b").unionByName(stars)
     groups = components(links, "a", "b")
     # reads of one state are linked to each other if a read would be to its equal
     alone = (F.size("muts") > 0) & (F.size("muts") < min_matches)
@@ -49,7 +55,15 @@ def seed_clusters(reads: DataFrame, calls: DataFrame, min_jaccard: float = 0.2,
     return out.select("read_id", "barcode", F.when(alone, F.col("read_id")).otherwise(F.coalesce("component", "state")).alias("cluster"))
 
 
-def merge_clusters(seeds: DataFrame, calls: DataFrame, max_diff: int = 1, min_jaccard: float = 0.2, min_quality: int = 0, max_rounds: int = 30) -> DataFrame:
+def _always_similar(min_jaccard: float) -> int:
+    """Up to how many calls two sets may have so that one in common makes their Jaccard similarity exceed ``min_jaccard``."""
+    k = 0
+    while k < 1_000 and 1 / (2 * (k + 1) - 1) > min_jaccard:
+        k += 1
+    return k
+
+
+def merge_clusters(seeds: DataFrame, calls: DataFrame, max_diff: int = 1, min_jaccard: float = 0.2, min_quality: int = 0) -> DataFrame:
     """``read_id, barcode, cluster`` after small clusters have joined larger ones of similar barcodes.
 
     For each distance d up to ``max_diff``: two clusters with barcodes d apart are joined if their sizes
@@ -57,7 +71,7 @@ def merge_clusters(seeds: DataFrame, calls: DataFrame, max_diff: int = 1, min_ja
     neither has likely calls or the Jaccard similarity of their calls, taken over both clusters' likely calls, is
     above ``min_jaccard``. In a round, each cluster joins the best larger one (nearest, then
     largest, then smallest id), unless that one joins another itself in this round, when it waits for
-    the next. Rounds end when nothing joins. So the result depends neither on the order of rows
+    the next. Rounds end when nothing joins, as they must, since each join leaves one cluster less. So the result depends neither on the order of rows
     nor on partitions.
     """
     one = stage(calls.where("mut IS NOT NULL").groupBy("read_id", "mut").agg(F.max("q").alias("q")), "calls")
@@ -66,16 +80,16 @@ def merge_clusters(seeds: DataFrame, calls: DataFrame, max_diff: int = 1, min_ja
     edges = stage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist")), "distances")
     now = stage(seeds.select("read_id", "barcode", "cluster"), "clusters")
     for d in range(1, max_diff + 1):
-        for _ in range(max_rounds):
+        while True:
             hooks = stage(_hooks(now, one, edges, d, min_jaccard, min_quality), "hooks")
             if not hooks.limit(1).count():
                 break
             new = now.join(hooks, "cluster", "left").select("read_id", "barcode", F.coalesce("into", "cluster").alias("cluster"))
             new = stage(new, "clusters")
             unstage(now)
+            unstage(hooks)
             now = new
-        else:
-            raise RuntimeError(f"clusters still joined after {max_rounds} rounds")
+        unstage(hooks)
     first = now.groupBy("cluster").agg(F.min("read_id").alias("least"))
     return now.join(first, "cluster").select("read_id", "barcode", F.col("least").alias("cluster"))
 
@@ -86,12 +100,14 @@ def _hooks(now: DataFrame, calls: DataFrame, edges: DataFrame, d: int, min_jacca
     members = now.select("cluster", "barcode").distinct()
     one = members.select(F.col("cluster").alias("c1"), F.col("barcode").alias("a"))
     two = members.select(F.col("cluster").alias("c2"), F.col("barcode").alias("b"))
-    far = one.join(edges.where(F.col("dist") <= 2 * d), "a").join(two, "b").where("c1 <> c2").select("c1", "c2", "dist")
-    equal = one.join(two, F.col("a") == F.col("b")).where("c1 <> c2").select("c1", "c2", F.lit(0).alias("dist"))
-    apart = far.unionByName(equal).groupBy("c1", "c2").agg(F.min(F.when(F.col("dist") > 0, F.col("dist"))).alias("least"), F.count(F.lit(1)).alias("known"))
+    far = one.join(edges.where(F.col("dist") <= 2 * d), "a").join(two, "b").where("c1 <> c2").groupBy("c1", "c2").agg(F.min("dist").alias("least"), F.count(F.lit(1)).alias("apart"))
     s1 = sizes.select(F.col("cluster").alias("c1"), F.col("n").alias("n1"), F.col("codes").alias("k1"))
     s2 = sizes.select(F.col("cluster").alias("c2"), F.col("n").alias("n2"), F.col("codes").alias("k2"))
-    fit = apart.where(F.col("least") == d).join(s1, "c1").join(s2, "c2").where((F.col("known") == F.col("k1") * F.col("k2")) & (F.log2(F.col("n2") / F.col("n1")) >= d))
+    pairs = far.where(F.col("least") == d).join(s1, "c1").join(s2, "c2").where(F.log2(F.col("n2") / F.col("n1")) >= d)
+    # barcodes that both clusters hold, counted only for pairs that may join: clusters of one barcode alone are never paired
+    common = pairs.where(F.col("apart") < F.col("k1") * F.col("k2")).select("c1", "c2").join(one, "c1").join(two, "c2").where("a = b").groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("equal"))
+    both_known = pairs.join(common, ["c1", "c2"], "left").where(F.col("apart") + F.coalesce("equal", F.lit(0)) == F.col("k1") * F.col("k2"))
+    fit = both_known.select("c1", "c2", "least", "n1", "n2")
     sums = now.select("read_id", "cluster").join(calls, "read_id").groupBy("cluster", "mut").agg(F.count_if(F.col("q") > 0).alias("m"), F.sum("q").alias("q"))
     both = fit.select("c1", "c2", F.explode(F.array("c1", "c2")).alias("cluster")).join(sums, "cluster")
     per_mut = both.groupBy("c1", "c2", "mut").agg(

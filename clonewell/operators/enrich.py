@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window as W
 
 from clonewell.functions.seq import finite, log_ratio, log_ratio_sd, product_sd
-from clonewell.session import small
+from clonewell.session import small, stage
 
 
 def frequencies(counts: DataFrame, samples: DataFrame) -> DataFrame:
@@ -14,7 +15,7 @@ def frequencies(counts: DataFrame, samples: DataFrame) -> DataFrame:
     Pairs of row and sample that don't occur stay implicit; ``replicate_stats`` counts them as 0.
     """
     totals = counts.groupBy("sample").agg(F.sum("n").alias("_total"))
-    both = totals.join(samples, "sample")
+    both = stage(totals.join(samples, "sample"), "totals")  # one row per sample
     return counts.join(small(both), "sample").select("lib_row", "assay", "cond", "replicate", "n", (F.col("n") / F.col("_total")).alias("freq"))
 
 
@@ -57,15 +58,49 @@ def log_ratios(stats: DataFrame, pseudo: DataFrame, baseline: str = "All") -> Da
     )
 
 
-def control_medians(lrs: DataFrame, is_wt: Column, is_null: Column, min_freq: float = 0.0) -> DataFrame:
-    """``assay, cond, wt_med, null_med``: exact medians of finite log ratios of the controls above ``min_freq``."""
+def exact_medians(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``keys..., median`` of a double column, exact; the mean of the two middle values of an even number.
+
+    Values are counted, range-sorted and summed up per partition; the partitions' subtotals are added, so a group of any
+    size is spread over many tasks. Null and NaN values are left out, and groups without others; null keys are groups.
+    """
+    spark = df.sparkSession
+    counts = df.where(finite(F.col(value))).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    order = [*(F.col(k).asc_nulls_first() for k in keys), F.col("_v").asc()]
+    ranged = stage(counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id()), "ranged")
+    whole, before = W.partitionBy(*keys), W.partitionBy(*keys).orderBy("_part")
+    subtotals = ranged.groupBy(*keys, "_part").agg(F.sum("_n").alias("_sub"))  # at most one row per group and partition
+    offsets = subtotals.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), (F.sum("_sub").over(before) - F.col("_sub")).alias("_before"), F.sum("_sub").over(whole).alias("_total"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    upto = F.col("_before") + F.sum("_n").over(W.partitionBy("_part", *keys).orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
+    run = ranged.join(offsets, [F.col("_part") == F.col("_p"), *same]).withColumn("_upto", upto)
+    low, high = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
+    holds = lambda rank: (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
+    return run.where(holds(low) | holds(high)).groupBy(*keys).agg(((F.max(F.when(holds(low), F.col("_v"))) + F.max(F.when(holds(high), F.col("_v")))) / 2).alias("median"))
+
+
+def wide_enough(stats: DataFrame, bottleneck: float) -> DataFrame:
+    """``lib_row, assay`` of rows whose mean count is at least ``bottleneck`` in all conditions of the assay, the baseline too."""
+    return stats.groupBy("lib_row", "assay").agg(F.bool_and(F.col("mean_count") >= bottleneck).alias("_wide")).where("_wide").select("lib_row", "assay")
+
+
+def control_medians(lrs: DataFrame, is_wt: Column, is_null: Column, min_freq: float = 0.0, given: tuple[float | None, float | None] = (None, None)) -> DataFrame:
+    """``assay, cond, wt_med, null_med``: exact medians of finite log ratios of the controls above ``min_freq``.
+
+    ``given`` are medians of the wild type and of null rows to take instead. A condition without controls of a kind has null there.
+    """
     good = finite(F.col("lr")) & (F.col("allfreq") > min_freq)
-    return lrs.groupBy("assay", "cond").agg(F.median(F.when(is_wt & good, F.col("lr"))).alias("wt_med"), F.median(F.when(is_null & good, F.col("lr"))).alias("null_med"))
+    kinds = F.array_compact(F.array(F.when(is_wt & good, "wt"), F.when(is_null & good, "null")))
+    controls = lrs.select("assay", "cond", "lr", F.explode(kinds).alias("_kind"))
+    medians = exact_medians(controls, ["assay", "cond", "_kind"], "lr")
+    wide = medians.groupBy("assay", "cond").agg(*(F.max(F.when(F.col("_kind") == k, F.col("median"))).alias(f"{k}_med") for k in ("wt", "null")))
+    out = lrs.select("assay", "cond").distinct().join(small(wide), ["assay", "cond"], "left")  # one row per condition
+    return out.select("assay", "cond", *(F.lit(float(g)).alias(n) if g is not None else F.col(n) for n, g in zip(("wt_med", "null_med"), given)))
 
 
 def scores(lrs: DataFrame, medians: DataFrame) -> DataFrame:
     """Log ratios scaled so that the median of null rows is 0 and of wild-type rows 1; null where both are equal."""
-    both = lrs.join(small(medians), ["assay", "cond"])
+    both = lrs.join(small(stage(medians, "medians")), ["assay", "cond"])
     span = F.nullif(F.col("wt_med") - F.col("null_med"), F.lit(0.0))
     return both.select("lib_row", "assay", "cond", ((F.col("lr") - F.col("null_med")) / span).alias("score"), (F.col("sd") / F.abs(span)).alias("sd"), "allfreq", "freq")
 
@@ -138,4 +173,4 @@ def joint_table(estimates: DataFrame, wild_type: str = "=") -> DataFrame:
     return rows.where(F.col("score").isNotNull()).withColumn("se", F.col("sd") / F.sqrt(F.nullif(F.col("df"), F.lit(0))))
 
 
-__all__ = ["frequencies", "replicate_stats", "pseudocount", "log_ratios", "control_medians", "scores", "passing", "joined_estimate", "variant_estimates", "joint_table", "product_sd"]
+__all__ = ["frequencies", "replicate_stats", "pseudocount", "log_ratios", "exact_medians", "wide_enough", "control_medians", "scores", "passing", "joined_estimate", "variant_estimates", "joint_table", "product_sd"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -56,18 +58,42 @@ def nearest(queries: DataFrame, library: DataFrame, k: int) -> DataFrame:
 
     ``nhits`` counts the library texts at that distance; ``hit`` is null where there are several.
     """
-    pairs = neighbors(library, queries, k).select(F.col("b").alias("a"), F.col("a").alias("b"), "dist")
-    best = pairs.groupBy(F.col("a").alias("seq")).agg(F.min("dist").alias("diffs"))
-    hits = pairs.join(best, (pairs["a"] == best["seq"]) & (pairs["dist"] == best["diffs"]))
-    out = hits.groupBy("seq", "diffs").agg(F.count(F.lit(1)).alias("nhits"), F.min("b").alias("hit"))
-    return out.select("seq", F.when(F.col("nhits") == 1, F.col("hit")).alias("hit"), "diffs", "nhits")
+    near = neighbors(library, queries, k)
+    best = near.groupBy(F.col("b").alias("seq")).agg(F.min(F.struct("dist", F.col("a").alias("hit"))).alias("m"), *(F.count_if(F.col("dist") == d).alias(f"n{d}") for d in range(k + 1)))
+    nhits = reduce(lambda c, d: c.when(F.col("m.dist") == d, F.col(f"n{d}")), range(k + 1), F.when(F.lit(False), F.lit(0).cast("bigint")))
+    return best.select("seq", F.when(nhits == 1, F.col("m.hit")).alias("hit"), F.col("m.dist").alias("diffs"), nhits.alias("nhits"))
 
 
-def alignment_cost(nm: Column, cigar: Column, query_length: Column, target_length: Column) -> Column:
-    """Distance of an aligned barcode as the pipelines count it: mismatches, indel bases, and the difference of lengths.
+def alignment_distance(nm: Column, cigar: Column, query_length: Column, target_length: Column) -> Column:
+    """``mismatch, indel, dist`` of an aligned barcode: mismatches are the edits less inserted and deleted bases; indels are those bases and the difference of lengths.
 
-    An inner indel of one base costs 2 (once as an indel, once by the lengths), one at an end 1.
+    So an inner indel of one base costs 2 (once as an indel, once by the lengths), one at an end, which the alignment leaves out, 1.
     """
     total = lambda op: F.coalesce(F.aggregate(F.regexp_extract_all(cigar, F.lit(rf"(\d+){op}"), 1), F.lit(0), lambda a, x: a + x.cast("int")), F.lit(0))
     inner = total("I") + total("D")
-    return (nm - inner) + inner + F.abs(query_length - target_length)
+    mismatch, indel = nm - inner, inner + F.abs(query_length - target_length)
+    return F.struct(mismatch.alias("mismatch"), indel.alias("indel"), (mismatch + indel).alias("dist"))
+
+
+def alignment_cost(nm: Column, cigar: Column, query_length: Column, target_length: Column) -> Column:
+    """The ``dist`` of ``alignment_distance``."""
+    return alignment_distance(nm, cigar, query_length, target_length)["dist"]
+
+
+def _differing(a: Column, b: Column) -> Column:
+    """Places at which two texts differ, over the length of the shorter one."""
+    places = F.sequence(F.lit(1), F.least(F.length(a), F.length(b)))
+    return F.when(F.least(F.length(a), F.length(b)) == 0, F.lit(0)).otherwise(F.size(F.filter(places, lambda i: F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1)))))
+
+
+def pipeline_distance(a: Column, b: Column, edits: Column) -> Column:
+    """The distance by ``alignment_distance`` of two barcodes with known edit distance: the best of an alignment of all of both, and of one that leaves what the longer one has too many over at an end."""
+    over = F.abs(F.length(a) - F.length(b))
+    front, back = _differing(a, b), _differing(F.reverse(a), F.reverse(b))
+    return (F.least(edits, front, back) + over).cast("int")
+
+
+def barcode_distances(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+    """``a, b, dist``: pairs of distinct texts whose ``pipeline_distance`` is at most k; it is never below the edit distance, so none is missed."""
+    near = neighbors(left, right, k).where("a <> b")
+    return near.select("a", "b", pipeline_distance(F.col("a"), F.col("b"), F.col("dist")).alias("dist")).where(F.col("dist") <= k)

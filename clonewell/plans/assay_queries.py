@@ -57,7 +57,7 @@ _STATS = """, tot AS (SELECT sample, sum(n) AS t FROM vc GROUP BY sample),
  lr AS (SELECT a.lib_row, a.assay, a.cond, CASE WHEN a.mean + pseudo > 0 AND b.mean > 0 THEN log10(a.mean + pseudo) - log10(b.mean) END AS lr,
    CASE WHEN a.mean + pseudo > 0 AND b.mean > 0 THEN sqrt(pow(a.sd / (2.302585092994046 * (a.mean + pseudo)), 2) + pow(b.sd / (2.302585092994046 * b.mean), 2)) END AS sd, b.mean AS allfreq, a.mean AS freq
    FROM st a JOIN st b ON b.lib_row = a.lib_row AND b.assay = a.assay AND b.cond = 'All', ps WHERE a.cond <> 'All'),
- med AS (SELECT assay, cond, median(lr) FILTER (WHERE lib_row = '=' AND allfreq > 0) AS wt_med, median(lr) FILTER (WHERE regexp_matches(lib_row, 'del|ins') AND allfreq > 0.0002) AS null_med FROM lr WHERE lr IS NOT NULL GROUP BY ALL),
+ med AS (SELECT assay, cond, median(lr) FILTER (WHERE lr IS NOT NULL AND lib_row = '=' AND allfreq > 0) AS wt_med, median(lr) FILTER (WHERE lr IS NOT NULL AND regexp_matches(lib_row, 'del|ins') AND allfreq > 0.0002) AS null_med FROM lr GROUP BY ALL),
  sc AS (SELECT lib_row, assay, cond, (lr - null_med) / nullif(wt_med - null_med, 0) AS score, sd / abs(nullif(wt_med - null_med, 0)) AS sd, allfreq, freq FROM lr JOIN med USING (assay, cond)) """
 _V = B.with_tables("vc") + _STATS
 
@@ -105,6 +105,26 @@ def frequency_filter(spark: SparkSession, folder: str) -> DataFrame:
     return E.passing(_lrs(spark, folder), FREQ, bottleneck=0.0001).select("lib_row", "assay", "cond")
 
 
+@query(_V + "SELECT lib_row, assay FROM st GROUP BY ALL HAVING bool_and(mean_count >= 2)")
+def bottleneck_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that may be controls: with a mean of two reads at least in every condition of the assay."""
+    return E.wide_enough(_stats(spark, folder), 2)
+
+
+@query(
+    _V
+    + """, ok AS (SELECT lib_row, assay FROM st GROUP BY ALL HAVING bool_and(mean_count >= 2)), m AS (SELECT assay, cond, median(lr) FILTER (WHERE lr IS NOT NULL AND regexp_matches(lib_row, 'del|ins') AND allfreq > 0) AS null_med FROM lr JOIN ok USING (lib_row, assay) GROUP BY ALL)
+    SELECT lib_row, assay, cond, round((lr - null_med) / nullif(0.05 - null_med, 0), 5) AS score FROM lr JOIN m USING (assay, cond)"""
+)
+def scores_by_given_median(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores with a given median of the wild type; null rows are measured where they pass the bottleneck in all conditions."""
+    stats = _stats(spark, folder)
+    lrs = stage(E.log_ratios(stats, E.pseudocount(stats)), "ratios")
+    controls = lrs.join(E.wide_enough(stats, 2), ["lib_row", "assay"], "left_semi")
+    medians = E.control_medians(controls, F.lit(False), F.col("lib_row").rlike("del|ins"), given=(0.05, None))
+    return E.scores(lrs, medians).select("lib_row", "assay", "cond", F.round("score", 5).alias("score"))
+
+
 @query(
     _V
     + """SELECT lib_row, assay, CASE WHEN lib_row = '=' THEN 'WT' WHEN regexp_matches(lib_row, 'del|ins') THEN 'fs' ELSE 'sub' END AS class,
@@ -124,7 +144,12 @@ def frequency_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return with_ps.groupBy("cond", F.floor(F.log10(F.col("mean") + F.col("pseudo")) / 0.05).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_V + "SELECT a.lib_row, a.assay, a.cond, round(a.mean_count - b.mean_count, 9) AS change FROM st a JOIN st b ON a.lib_row = b.lib_row AND a.assay = b.assay AND b.cond = 'All' WHERE a.cond <> 'All'")
+@query(
+    B.with_tables("vc").replace("vc AS (", "vc AS MATERIALIZED (")
+    + """, k AS (SELECT assay, cond, count(*) AS k FROM smp GROUP BY ALL), c AS MATERIALIZED (SELECT lib_row, assay, cond, sum(n) AS n FROM vc JOIN smp USING (sample) GROUP BY ALL), l AS (SELECT DISTINCT lib_row FROM vc)
+    SELECT l.lib_row, a.assay, a.cond, round(coalesce(x.n, 0) / a.k::DOUBLE - coalesce(y.n, 0) / b.k::DOUBLE, 9) AS change FROM l CROSS JOIN k a JOIN k b ON b.assay = a.assay AND b.cond = 'All'
+    LEFT JOIN c x ON x.lib_row = l.lib_row AND x.assay = a.assay AND x.cond = a.cond LEFT JOIN c y ON y.lib_row = l.lib_row AND y.assay = a.assay AND y.cond = 'All' WHERE a.cond <> 'All'"""
+)
 def count_change(spark: SparkSession, folder: str) -> DataFrame:
     st = _stats(spark, folder)
     base = st.where("cond = 'All'").select("lib_row", "assay", F.col("mean_count").alias("c0"))

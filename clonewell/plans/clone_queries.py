@@ -112,12 +112,75 @@ def amino_acid_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return codon_changes(spark, folder).groupBy("aa_pos", "to_aa").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+_BASE = "coalesce(max(alt) FILTER (WHERE kind = 'ins' AND k = {k}), '') || CASE WHEN coalesce(bool_or(kind = 'del' AND k = {k}), false) THEN '' ELSE coalesce(max(alt) FILTER (WHERE kind = 'sub' AND k = {k}), substr(orf, c * 3 - 2 + {k}, 1)) END"
+_AA = "array_to_string(list_transform(generate_series(1, length({s}) // 3), lambda i: aas[substr({s}, CAST(i * 3 - 2 AS BIGINT), 3)]), '')"
+_BLOCKS = (
+    _FRAME
+    + f""", x AS (SELECT mv, hl, (pos - 1) // 3 + 1 AS c, (pos - 1) % 3 AS k, kind, alt, orf FROM cl, fr WHERE pos BETWEEN 1 AND length(orf) AND (kind <> 'sub' OR substr(orf, pos, 1) = ref)),
+    e AS (SELECT mv, hl, c, orf, {' || '.join(_BASE.format(k=k) for k in range(3))} AS text FROM x GROUP BY mv, hl, c, orf),
+    w AS (SELECT *, length(text) - 3 AS s, coalesce(sum(length(text) - 3) OVER (PARTITION BY mv, hl ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e),
+    b AS (SELECT *, sum(CASE WHEN before % 3 = 0 THEN 1 ELSE 0 END) OVER p AS blk, lead(before) OVER p AS nb, lead(c) OVER p AS nc FROM w WINDOW p AS (PARTITION BY mv, hl ORDER BY c)),
+    g AS (SELECT mv, hl, orf, blk, min(c) AS c1, max(c) AS c2, string_agg(text || CASE WHEN nb % 3 <> 0 THEN substr(orf, c * 3 + 1, (nc - c - 1) * 3) ELSE '' END, '' ORDER BY c) AS new, sum(s) % 3 <> 0 AS fs FROM b GROUP BY ALL),
+    h AS (SELECT *, substr(orf, c1 * 3 - 2, (c2 - c1 + 1) * 3) AS old FROM g), aam AS (SELECT map(list(codon), list(aa)) AS aas FROM code), thm AS (SELECT map(list(aa), list(name)) AS names FROM three),
+    i AS (SELECT h.*, {_AA.format(s='old')} AS oa, {_AA.format(s='new')} AS na FROM h, aam),
+    j AS (SELECT i.*, names[left(oa, 1)] || c1 || CASE WHEN c1 = c2 OR fs THEN '' ELSE '_' || names[right(oa, 1)] || c2 END AS span, array_to_string(list_transform(string_split(na, ''), lambda q: names[q]), '') AS nl FROM i, thm),
+    n AS (SELECT mv, hl, c1, CASE WHEN fs THEN span || 'fs' WHEN oa = na THEN span || '=' WHEN c1 = c2 AND length(new) = 3 THEN span || nl WHEN na = '' THEN span || 'del' ELSE span || 'delins' || nl END AS p,
+      CASE WHEN fs THEN left(oa, 1) || c1 || 'fs' WHEN oa = na THEN oa || c1 || '=' ELSE oa || c1 || coalesce(nullif(na, ''), '-') END AS aa,
+      CASE WHEN fs THEN left(old, 3) || c1 || 'fs' ELSE old || c1 || coalesce(nullif(new, ''), '-') END AS codon,
+      CASE WHEN fs THEN (c1 * 3 - 2) || 'fs' WHEN new = '' THEN (c1 * 3 - 2) || '_' || (c2 * 3) || 'del' ELSE (c1 * 3 - 2) || '_' || (c2 * 3) || 'delins' || new END AS c FROM j),
+    tr AS (SELECT mv, hl, count(*) AS m, string_agg(p, ';' ORDER BY c1) AS p, string_agg(aa, '|' ORDER BY c1) AS aa, string_agg(codon, '|' ORDER BY c1) AS codon, string_agg(c, ';' ORDER BY c1) AS c FROM n GROUP BY mv, hl),
+    wh AS (SELECT mv, hl, coalesce(string_agg(mut, ';' ORDER BY pos, mut) FILTER (WHERE pos BETWEEN 1 AND {B.ORF_LENGTH}), '=') AS hgvs_c, coalesce(string_agg(mut, ';' ORDER BY pos, mut) FILTER (WHERE pos NOT BETWEEN 1 AND {B.ORF_LENGTH}), '=') AS off_target FROM cl GROUP BY mv, hl),
+    hg AS (SELECT wh.mv, wh.hl, hgvs_c, off_target, CASE WHEN m IS NULL THEN 'p.=' WHEN m = 1 THEN 'p.' || p ELSE 'p.[' || p || ']' END AS hgvs_p, CASE WHEN m IS NULL THEN 'c.=' WHEN m = 1 THEN 'c.' || c ELSE 'c.[' || c || ']' END AS codon_hgvs,
+      coalesce(codon, 'WT') AS codon_changes, coalesce(aa, 'WT') AS aa_changes FROM wh LEFT JOIN tr ON tr.mv = wh.mv AND tr.hl = wh.hl) """
+)
+
+
+@query(B.with_tables("cl") + _BLOCKS + "SELECT mv AS movie, hl AS hole, hgvs_c, off_target, hgvs_p, codon_hgvs, codon_changes, aa_changes FROM hg")
 def hgvs_translate(spark: SparkSession, folder: str) -> DataFrame:
     return T.translations(B.calls(spark, folder), reading_frame(spark, folder), ["movie", "hole"])
 
 
-@query()
+def _meanings(spark: SparkSession, folder: str) -> DataFrame:
+    """``movie, hole, class, changes``: the class of each read's genotype by its protein-level meaning, and its changes."""
+    reads = B.read_genotypes(spark, folder).select("movie", "hole")
+    both = reads.join(hgvs_translate(spark, folder), ["movie", "hole"], "left").fillna({"hgvs_p": "p.=", "aa_changes": "WT"})
+    return both.select("movie", "hole", T.variant_class(F.col("hgvs_p"), F.col("aa_changes")).alias("class"), F.split("aa_changes", r"\|").alias("changes"))
+
+
+_CLASS = """, mn AS (SELECT rg.mv, rg.hl, coalesce(hgvs_p, 'p.=') AS hp, string_split(coalesce(aa_changes, 'WT'), '|') AS ch FROM rg LEFT JOIN hg ON hg.mv = rg.mv AND hg.hl = rg.hl),
+    vk AS (SELECT mv, hl, ch, CASE WHEN ch = ['WT'] THEN 'WT' WHEN list_bool_or(list_transform(ch, lambda x: suffix(x, 'fs'))) THEN 'fs' WHEN contains(hp, 'Ter') AND NOT list_bool_and(list_transform(ch, lambda x: suffix(x, '='))) THEN 'stop' WHEN list_bool_and(list_transform(ch, lambda x: suffix(x, '='))) THEN 'syn' ELSE 'mis' END AS class FROM mn) """
+
+
+@query(B.with_tables("rg", "cl") + _BLOCKS + _CLASS + "SELECT mv AS movie, hl AS hole, class FROM vk")
+def protein_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Reads as wild type, frameshift, stop, synonymous or missense."""
+    return _meanings(spark, folder).select("movie", "hole", "class")
+
+
+@query(
+    B.with_tables("rg", "cl")
+    + _BLOCKS
+    + _CLASS
+    + r""", q AS (SELECT class, len(list_filter(ch, lambda x: NOT suffix(x, '=') AND x <> 'WT')) AS n, list_bool_or(list_transform(ch, lambda x: suffix(x, '-') OR regexp_matches(x, '\d+[A-Z*]{2,}$'))) AS ind FROM vk)
+    SELECT CASE WHEN class = 'fs' THEN 'fs' WHEN ind THEN 'indel' WHEN class IN ('WT', 'syn') THEN 'WT' ELSE n::VARCHAR END AS changes, count(*) AS reads FROM q GROUP BY 1"""
+)
+def protein_census(spark: SparkSession, folder: str) -> DataFrame:
+    """Reads by their number of amino-acid changes; frameshifts, in-frame indels and those without any change apart."""
+    m = _meanings(spark, folder)
+    indel = F.exists("changes", lambda x: x.endswith("-") | x.rlike(r"\d+[A-Z*]{2,}$"))
+    n = F.size(F.filter("changes", lambda x: ~x.endswith("=") & (x != "WT")))
+    label = F.when(F.col("class") == "fs", "fs").when(indel, "indel").when(F.col("class").isin("WT", "syn"), "WT").otherwise(n.cast("string"))
+    return m.groupBy(label.alias("changes")).agg(F.count(F.lit(1)).alias("reads"))
+
+
+@query(
+    B.with_tables("cl")
+    + _FRAME
+    + f""", o AS (SELECT DISTINCT geno, pos, CASE kind WHEN 'ins' THEN alt || substr(orf, pos, 1) WHEN 'del' THEN '' ELSE alt END AS b FROM cl JOIN rg USING (mv, hl), fr WHERE pos BETWEEN 1 AND {B.ORF_LENGTH}),
+    n AS (SELECT *, coalesce(lead(pos) OVER (PARTITION BY geno ORDER BY pos), {B.ORF_LENGTH} + 1) AS nx FROM o),
+    z AS (SELECT geno, substr(any_value(orf), 1, min(pos) - 1) || string_agg(b || substr(orf, pos + 1, nx - pos - 1), '' ORDER BY pos) AS s FROM n, fr GROUP BY geno),
+    d AS (SELECT geno, coalesce(s, orf) AS s FROM (SELECT DISTINCT geno FROM rg) LEFT JOIN z USING (geno), fr) SELECT geno, CAST(length(s) AS INTEGER) AS length, md5(s) AS digest FROM d"""
+)
 def genotype_apply(spark: SparkSession, folder: str) -> DataFrame:
     genos = B.read_genotypes(spark, folder).select("geno").distinct()
     made = genos.select("geno", T.apply_calls(F.lit(reading_frame(spark, folder)), S.calls_of(F.col("geno"))).alias("s"))

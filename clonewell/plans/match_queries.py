@@ -55,6 +55,18 @@ def nearest_library_match(spark: SparkSession, folder: str) -> DataFrame:
     return N.nearest(B.lines(spark, folder).select("seq"), _library(spark, folder), 2)
 
 
+@query(
+    _W("ln")
+    + _LIB
+    + """, p AS (SELECT lib.seq AS a, d.seq AS b, levenshtein(d.seq, lib.seq) AS e, length(d.seq) - length(lib.seq) AS o FROM d JOIN lib ON abs(length(d.seq) - length(lib.seq)) <= 1 AND d.seq <> lib.seq WHERE levenshtein(d.seq, lib.seq) <= 1),
+    q AS (SELECT a, b, abs(o) + least(e, hamming(left(a, least(length(a), length(b))::BIGINT), left(b, least(length(a), length(b))::BIGINT)), hamming(right(a, least(length(a), length(b))::BIGINT), right(b, least(length(a), length(b))::BIGINT))) AS dist FROM p)
+    SELECT a, b, CAST(dist AS INTEGER) AS dist FROM q WHERE dist <= 1"""
+)
+def barcode_distances(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequences at a distance of 1 from one with at least 20 lines, by the count of alignments: an inner indel is 2 away, one at an end 1."""
+    return N.barcode_distances(_library(spark, folder), B.lines(spark, folder).select("seq"), 1)
+
+
 @query(
     f"SELECT least(query_id, ref_id) AS a, greatest(query_id, ref_id) AS b, min({_DIST}) AS dist, count(*) AS times FROM barcode_matches WHERE query_id <> ref_id AND {_DIST} <= 2 GROUP BY 1, 2"
 )

@@ -75,12 +75,12 @@ class Assay:
     joint: DataFrame
 
 
-def score_assay(barcodes: DataFrame, lib: DataFrame, samples: DataFrame, assay: str, cond: str, max_errors: int = 1, min_freq: float = 0.0, bottleneck: float | None = None) -> Assay:
+def score_assay(barcodes: DataFrame, lib: DataFrame, samples: DataFrame, assay: str, cond: str, max_errors: int = 1, min_freq: float = 0.0, bottleneck: float | None = None, given: tuple[float | None, float | None] = (None, None)) -> Assay:
     """Scores of one condition of an assay from read barcodes (``sample, read_id, barcode``) and a library (``barcode, aa_changes, hgvs_p``).
 
     Wild-type rows are those without amino-acid changes, null rows those whose ``hgvs_p`` ends in ``Ter``. With
     ``bottleneck``, controls need that mean count in all conditions of the assay, clones in the one scored.
-    A clone with a stop counts for its stops only.
+    ``given`` are medians of the wild type and of null rows to take instead of those measured. A clone with a stop counts for its stops only.
     """
     counts = stage(caller.call_reads(barcodes, lib.select(F.col("barcode").alias("seq")), max_errors), "hits")
     hits = counts.where("fate = 'hit'").select(F.col("hit").alias("lib_row"), "sample", "n")
@@ -88,9 +88,8 @@ def score_assay(barcodes: DataFrame, lib: DataFrame, samples: DataFrame, assay:
     lrs = stage(enrich.log_ratios(stats, enrich.pseudocount(stats)), "ratios")
     known = lrs.join(lib.select(F.col("barcode").alias("lib_row"), "aa_changes", "hgvs_p"), "lib_row")
     if bottleneck is not None:
-        wide = stats.groupBy("lib_row", "assay").agg(F.bool_and(F.col("mean_count") >= bottleneck).alias("wide"))
-        known = known.join(wide.where("wide").select("lib_row", "assay"), ["lib_row", "assay"], "left_semi")
-    medians = enrich.control_medians(known, F.col("aa_changes") == "WT", F.col("hgvs_p").rlike(r"Ter\]?$"), min_freq)
+        known = known.join(enrich.wide_enough(stats, bottleneck), ["lib_row", "assay"], "left_semi")
+    medians = enrich.control_medians(known, F.col("aa_changes") == "WT", F.col("hgvs_p").rlike(r"Ter\]?$"), min_freq, given)
     scores = stage(enrich.scores(lrs, medians), "scores")
     chosen = enrich.passing(scores.where((F.col("assay") == assay) & (F.col("cond") == cond)), min_freq)
     if bottleneck is not None:

@@ -85,12 +85,14 @@ class FastqReader(DataSourceReader):
             stream = io.BufferedReader(gzip.GzipFile(fileobj=system.open_input_stream(inner, compression=None)))
         else:
             stream = system.open_input_file(inner)
-            stream.seek(partition.start)
+            stream.seek(max(0, partition.start - 1))
 
         def lines() -> Iterator[tuple[int, str]]:
-            at = partition.start
-            for raw in _lines(stream):
-                yield at, raw.rstrip(b"\r\n").decode("utf-8", "replace")
+            at = max(0, partition.start - 1)
+            for k, raw in enumerate(_lines(stream)):
+                # a later split drops the line it begins in, which ends with the byte before it if a line begins with it
+                if k or not partition.start:
+                    yield at, raw.rstrip(b"\r\n").decode("utf-8", "replace")
                 at += len(raw)
 
         for at, head, seq, qual in records(lines()):
@@ -129,7 +131,7 @@ def read_fastq(spark: SparkSession, path: str, split_bytes: int = 64 << 20) -> D
     """Reads of a FASTQ file or folder of such files: ``read_id, comment, seq, qual, file, offset``.
 
     Whether a file is compressed is told by its first bytes, not its name. A split begins to read at the
-    first record that starts in it and ends with the one that starts before its end. Empty files give no rows.
+    first record whose first line starts in it and ends with the one that starts before its end. Empty files give no rows.
     """
     spark.dataSource.register(FastqSource)
     return spark.read.format("fastq").option("splitBytes", split_bytes).load(path)

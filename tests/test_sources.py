@@ -31,6 +31,19 @@ def test_fastq_is_read_whole_at_any_split(spark, tmp_path, packed, split):
     assert sorted((r.read_id + (f" {r.comment}" if r.comment else ""), r.seq, r.qual) for r in got) == sorted(RECORDS)
 
 
+def test_fastq_split_inside_a_header_gives_each_record_once(tmp_path):
+    """Every size of splits, on records with @ in comments, qualities and ids."""
+    from clonewell.sources.fastq import FastqReader
+
+    records = [("r1 to=me@lab", "ACGT", "@@II"), ("r@2 @", "AC", "@+"), ("r3", "A", "@"), ("r4 x@y@z", "ACGTACGT", "+@II@@@@"), ("r5", "", "")]
+    path = write(tmp_path / "x.fastq", fq(records))
+    size = (tmp_path / "x.fastq").stat().st_size
+    for split in range(1, size + 2):
+        reader = FastqReader({"path": path, "splitbytes": str(split)})
+        rows = [r for p in reader.partitions() for r in reader.read(p)]
+        assert sorted((f"{i} {c}" if c else i, s, q) for i, c, s, q, _, _ in rows) == sorted(records), split
+
+
 def test_fastq_folder_roundtrip_and_empty(spark, tmp_path):
     (tmp_path / "in").mkdir()
     path = write(tmp_path / "in" / "s1_R1.fastq", fq(RECORDS))
@@ -131,10 +144,34 @@ def test_translation(spark):
     calls = [("a", 5, "sub", "C", "T", "5C>T"), ("b", 4, "sub", "G", "A", "4G>A"), ("b", 5, "sub", "C", "A", "5C>A"), ("c", 6, "sub", "T", "C", "6T>C"), ("d", -5, "sub", "A", "G", "-5A>G"), ("d", 31, "del", "", "", "31del"), ("e", 5, "ins", "", "A", "5insA"), ("f", 7, "sub", "G", "A", "7G>A"), ("g", 6, "sub", "T", "G", "6T>G"), ("g", 9, "sub", "A", "G", "9A>G")]
     df = spark.createDataFrame(calls, "k string, pos int, kind string, ref string, alt string, mut string")
     got = {r.k: r for r in T.translations(df, orf, ["k"]).collect()}
-    assert {k: r.hgvs_p for k, r in got.items()} == {"a": "p.Ala2Val", "b": "p.Ala2Asn", "c": "p.Ala2=", "d": "p.=", "e": "p.2fs", "f": "p.=", "g": "p.[Ala2=;Ter3=]"}
+    assert {k: r.hgvs_p for k, r in got.items()} == {"a": "p.Ala2Val", "b": "p.Ala2Asn", "c": "p.Ala2=", "d": "p.=", "e": "p.Ala2fs", "f": "p.=", "g": "p.[Ala2=;Ter3=]"}
     assert got["d"].off_target == "-5A>G;31del" and got["d"].hgvs_c == "=" and got["a"].aa_changes == "A2V" and got["d"].aa_changes == "WT"
 
 
+def test_translation_tracks_the_frame(spark):
+    """Ten inserted bases and, much later, one deleted one: all codons between are read as they stand, and what follows is in frame again."""
+    orf = "ATG" + "GCTGAACGT" * 9 + "TAA"
+
+    def calls(key, text):
+        parts = spark.range(1).select(F.explode(S.calls_of(F.lit(";".join(f"{x}:1" for x in text.split(";"))))).alias("c")).select("c.*").collect()
+        return [(key, r.pos, r.kind, r.ref, r.alt, r.mut) for r in parts]
+
+    cases = {"ins3": "7insAAA", "del3": "7del;8del;9del", "back": "7insA;11del", "open": "10insACGTACGTAC;80del;40A>G", "later": "7insA;11del;14C>T", "six": "4del;5del;6del;7del;8del;9del", "cross": "6del;7del;8del"}
+    rows = [r for k, t in cases.items() for r in calls(k, t)]
+    df = spark.createDataFrame(rows, "k string, pos int, kind string, ref string, alt string, mut string")
+    got = {r.k: r for r in T.translations(df, orf, ["k"]).collect()}
+    edited = {k: spark.range(1).select(T.apply_calls(F.lit(orf), S.calls_of(F.lit(";".join(f"{x}:1" for x in t.split(";")))))).first()[0] for k, t in cases.items()}
+    protein = lambda s: "".join(S.CODONS[s[i : i + 3]] for i in range(0, len(s) - 2, 3))
+    assert got["ins3"].hgvs_p == "p.Glu3delinsLysGlu" and got["ins3"].aa_changes == "E3KE" and got["ins3"].codon_hgvs == "c.7_9delinsAAAGAA"
+    assert got["del3"].hgvs_p == "p.Glu3del" and got["del3"].aa_changes == "E3-" and got["del3"].codon_changes == "GAA3-"
+    assert got["six"].hgvs_p == "p.[Ala2del;Glu3del]"
+    assert got["cross"].aa_changes == "AE2A" and got["cross"].hgvs_p == "p.Ala2_Glu3delinsAla"
+    assert got["back"].aa_changes == "ER3" + protein(edited["back"])[2:4] and not got["back"].aa_changes.endswith("fs")
+    assert got["later"].aa_changes == got["back"].aa_changes + "|A5V"
+    old, new = protein(orf), protein(edited["open"])
+    assert len(edited["open"]) % 3 == 0 and got["open"].aa_changes == old[3:27] + "4" + new[3:30]
+
+
 def test_apply_calls(spark):
     def apply(seq, geno):
         out = list(seq)
