@@ -1,6 +1,7 @@
 """Leaks, mixtures and garbled text on hand-made texts."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -68,6 +69,78 @@ def test_paraphrase_and_shuffled_words(spark):
     assert set(got) == {1} and not got[1].verbatim and got[1].run_words == 7 and 0.8 < got[1].lcs_share < 1
 
 
+def paraphrase(r, words, rate):
+    """Words replaced, left out, put in and swapped with their neighbours; ``rate`` of them in all."""
+    out = []
+    for x in words:
+        u = r.random() / rate
+        out += [] if u < 0.2 else ["instead" + x[:1]] if u < 0.6 else [x, "also"] if u < 0.8 else [x]
+        if 0.8 <= u < 1 and len(out) > 1:
+            out[-2:] = out[:-3:-1]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("rate, least", [(0.1, 0.95), (0.2, 0.9)])
+def test_paraphrases_of_all_items_are_found(spark, small_tables, rate, least):
+    """Recall and precision at default settings: paraphrases of whole items and of halves of long ones, among texts of the same patterns with other numbers and names."""
+    r = random.Random(17)
+    items = [tuple(x) for x in small_tables[1].execute("SELECT item_id, text FROM eval_items WHERE text IS NOT NULL ORDER BY item_id").fetchall()]
+    common = Counter(w for _, t in items for w in set(L.words_of(t)))
+    rare = {w for w, n in common.items() if n <= 15 and not w.isdigit()}  # the patterns' own words stand in more items
+    docs, want = [], {}
+    for k, (i, t) in enumerate(items):
+        w = L.words_of(t)
+        part = w[: len(w) // 2] if len(w) >= 90 and k % 2 else w
+        docs.append((10_000 + i, f"{sentence(r, 20)} {paraphrase(r, part, rate)} {sentence(r, 20)}"))
+        want[10_000 + i] = i
+        other = [str(r.randint(2, 999)) if x.isdigit() else "zz" + x[::-1] if x in rare else x for x in w]
+        docs.append((20_000 + i, f"{sentence(r, 10)} {' '.join(other)} {sentence(r, 10)}"))
+    # twelve words of a pattern in a row are a verbatim run, whatever the rest
+    got = {(x.doc_id, x.item_id) for x in leaks(spark, docs, items).collect() if x.doc_id < 20_000 or not x.verbatim}
+    right = sum((d, i) in got for d, i in want.items())
+    # items that share a passage are both in a text with that passage
+    text = {i: set(zip(*(L.words_of(t)[k:] for k in range(8)))) for i, t in items}
+    false = sum(d >= 20_000 or want[d] != i and not text[i] & text[want[d]] for d, i in got)
+    print(f"rate {rate}: {right} of {len(want)} found, {false} of {len(got)} pairs wrong")
+    assert right >= least * len(want) and false <= 0.02 * len(got)
+
+
+def test_sizes_of_groups_and_blocks():
+    s = L.Settings(group_words=50, block_bytes=10_000)
+    rows = [(k, sentence(random.Random(k), 5 + 7 * (k % 9))) for k in range(60)] + [(99, "one"), (98, "?"), (97, " ".join(f"w{k}" for k in range(200)))]
+    groups = list(L._groups(rows, s))
+    assert sorted(i for g in groups for c in g.classes.values() for i, _ in c) == sorted(k for k, t in rows if L.words_of(t))
+    assert all(len(g.vocabulary) <= 50 or sum(map(len, g.classes.values())) == 1 for g in groups)
+    for g in groups:
+        for length, members in g.classes.items():
+            width, stride = L._cut(length)
+            assert all(len(w) >= length >= width for _, w in members) and width + stride - 1 == length
+            blocks = list(L._blocks(members, width, 96, s.block_bytes))
+            assert [i for b in blocks for i, _ in b] == [i for i, _ in members]
+            assert all(len(b) == 1 or sum((len(w) - width + 1) * (4 * 96 + L.PASSAGE_BYTES) for _, w in b) <= s.block_bytes for b in blocks)
+
+
+def test_an_item_of_one_word_beside_long_ones(spark):
+    r = random.Random(6)
+    items = [(1, "kaban"), *((k, sentence(r, 40)) for k in range(2, 12))]
+    docs = [(1, f"{sentence(r, 30)} {items[3][1]}"), (2, "nothing of it"), (3, "so KABAN, said")]
+    got = {(x.doc_id, x.item_id) for x in leaks(spark, docs, items).where("verbatim").collect()}
+    assert got == brute(docs, items)
+
+
+def test_equal_passages_have_equal_codes():
+    r = np.random.default_rng(2)
+    v = r.standard_normal((4000, 96)).astype(np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    index = L.Index(v, 16, 14, 7)
+    for size in (1, 3, 777):
+        assert all((index.codes(v[k : k + size]) == index.codes(v)[k : k + size]).all() for k in (0, 5, 1234))
+    near = v + 0.25 * r.standard_normal(v.shape).astype(np.float32) / np.sqrt(96)
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    hit = {int(q) for q, h, c in index.near(near, 0.9) for q, h in zip(q, h) if q == h}
+    assert len(hit) >= 0.9 * (np.einsum("ij,ij->i", v, near) >= 0.9).sum()
+
+
 def test_no_tables(spark):
     assert leaks(spark, [], [(1, "a b c")]).collect() == []
     assert leaks(spark, [(1, "a b c")], []).collect() == []
