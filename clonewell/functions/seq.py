@@ -1,4 +1,4 @@
-"""Column expressions on sequences, qualities and variant texts; all run inside Spark's generated code."""
+"""Column expressions on sequences, qualities and variant texts, all on the JVM; those with lambdas over arrays are interpreted there, the others run in generated code."""
 
 from __future__ import annotations
 
@@ -95,30 +95,27 @@ def between_flanks(text: Column, up: str, down: str, length: int, slack: int) ->
     return F.when(exact != "", exact).when(F.size(pairs) == 1, F.get(pairs, F.lit(0)))
 
 
+def flank_ends(up: str, down: str, n: int = 5) -> tuple[str, str]:
+    """The last ``n`` bases of the flank before a barcode and the first ``n`` of the one behind it."""
+    return up[max(0, len(up) - n) :], down[:n]
+
+
 def calls_of(geno: Column) -> Column:
     """Array of calls ``pos, kind (sub, ins, del), ref, alt, q, mut`` of a packed genotype; ``=`` gives an empty one.
 
     Texts that are no call are left out. ``mut`` is the call without its quality.
     """
 
+    body = r"^(-?\d+)(?:([ACGT])>([ACGT])|(ins)([ACGT]+)|(del)):(-?\d+)$"
+    calls = F.filter(F.transform(F.split(geno, ";"), lambda x: F.trim(x)), lambda x: x.rlike(body))
+
     def call(x: Column) -> Column:
-        body = F.trim(x)
-        part = lambda k: F.regexp_extract(body, r"^(-?\d+)(?:([ACGT])>([ACGT])|(ins)([ACGT]+)|(del)):(-?\d+)$", k)
-        kind = F.when(part(4) != "", part(4)).when(part(6) != "", part(6)).otherwise(F.lit("sub"))
+        parts = F.split(F.regexp_replace(x, body, "$1,$2,$3$5,$4$6,$7"), ",")
         return F.struct(
-            part(1).alias("pos"),
-            kind.alias("kind"),
-            part(2).alias("ref"),
-            F.when(part(4) != "", part(5)).otherwise(part(3)).alias("alt"),
-            part(7).alias("q"),
-            F.regexp_replace(body, r":-?\d+$", "").alias("mut"),
+            parts[0].cast("int").alias("pos"), F.when(parts[3] == "", "sub").otherwise(parts[3]).alias("kind"), parts[1].alias("ref"), parts[2].alias("alt"), parts[4].cast("int").alias("q"), F.substring_index(x, ":", 1).alias("mut")
         )
 
-    whole = F.transform(F.split(geno, ";"), call)
-    return F.transform(
-        F.filter(whole, lambda c: c["pos"] != ""),
-        lambda c: F.struct(c["pos"].cast("int").alias("pos"), c["kind"].alias("kind"), c["ref"].alias("ref"), c["alt"].alias("alt"), c["q"].cast("int").alias("q"), c["mut"].alias("mut")),
-    )
+    return F.transform(calls, call)
 
 
 def insertion_notation(mut: Column) -> Column:
@@ -137,6 +134,13 @@ def size_ratio(a: Column, b: Column) -> Column:
     return F.when((a > 0) & (b > 0), F.abs(F.log2(a / b)))
 
 
+def older_merge(size1: Column, size2: Column, barcode_dist: Column, geno_dist: Column, similarity: Column, min_jaccard: float) -> Column:
+    """Whether the older clustering joins two clusters: always without any distance, else if their calls are similar enough and either both are small
+    (4 reads at most) or their sizes differ by a factor whose logarithm to base 2 is at least 2^(distance of barcodes - 3)."""
+    uneven = (F.greatest(size1, size2) <= 4) | (size_ratio(size1, size2) >= F.pow(F.lit(2.0), barcode_dist - 3))
+    return (barcode_dist + geno_dist == 0) | (uneven & (similarity >= min_jaccard))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Jaccard similarity of two arrays as sets; 1 if both are empty."""
     union = F.size(F.array_union(a, b))

@@ -20,6 +20,14 @@ def likely_calls(reads: DataFrame, calls: DataFrame, group: str, min_quality: in
     return own.join(sums.select(group, "mut"), [group, "mut"]).where("q > 0")
 
 
+def variant_matrix(reads: DataFrame, calls: DataFrame, group: str) -> DataFrame:
+    """``group, mut, read_id, q``: every call of a group for every read of it, null where the read lacks it; the full outer merge of the reads' calls in long layout."""
+    members = reads.select("read_id", group).distinct()
+    own = members.join(calls.where("mut IS NOT NULL").groupBy("read_id", "mut").agg(F.max("q").alias("q")), "read_id")
+    known = own.select(group, "mut").distinct().join(members, group)
+    return known.join(own.select("read_id", "mut", "q"), ["read_id", "mut"], "left").select(group, "mut", "read_id", "q")
+
+
 def seed_clusters(reads: DataFrame, calls: DataFrame, min_jaccard: float = 0.2, min_matches: int = 1, min_quality: int = 0) -> DataFrame:
     """``read_id, barcode, cluster``: reads of equal barcodes whose calls agree, directly or through others.
 

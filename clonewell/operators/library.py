@@ -66,6 +66,37 @@ def merge_libraries(first: DataFrame, second: DataFrame, key: str = "barcode", g
     return both.join(known, key, "left").select(key, geno, total.alias(size), status.alias("status"))
 
 
+def join_libraries(first: DataFrame, second: DataFrame, keys: Sequence[str], clone: str, size: str = "size") -> DataFrame:
+    """Both libraries as one, clone by clone: ``keys..., clone, size, status``; ``keys`` are the barcode and the genotype.
+
+    Clones of the second library, summed up by ``keys``, join the largest clone of the first that has the same (``merged``; ties to the smallest
+    ``clone``); that one keeps its name. Those without are added without a name: ``conflict`` if the first library has the barcode with
+    other genotypes only, else ``new``. Rows with a null key are left out. Largest clones are map-side aggregates, joined back.
+    """
+    barcode = keys[0]
+    known = lambda d: d.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    one = known(first).groupBy(*keys, clone).agg(F.sum(size).alias(size))
+    two = known(second).groupBy(*keys).agg(F.sum(size).alias("_more"))
+    largest = one.groupBy(*keys).agg(F.min_by(clone, F.struct(-F.col(size), clone)).alias("_largest"))
+    joined = one.join(largest.join(two, keys, "full"), keys, "full").join(one.select(barcode).distinct().withColumn("_known", F.lit(True)), barcode, "left")
+    is_largest, more = F.col(clone) == F.col("_largest"), F.coalesce("_more", F.lit(0))
+    total = F.when(F.col(clone).isNull(), more).when(is_largest, F.col(size) + more).otherwise(F.col(size)).cast("bigint")
+    status = F.when(F.col(clone).isNotNull(), F.when(is_largest & F.col("_more").isNotNull(), "merged").otherwise("first")).when(F.col("_known"), "conflict").otherwise("new")
+    return joined.select(*keys, clone, total.alias(size), status.alias("status"))
+
+
+def join_members(first: DataFrame, second: DataFrame, libraries: DataFrame, keys: Sequence[str], clone: str) -> DataFrame:
+    """``keys..., clone, row_id``: the reads of the clones of ``join_libraries``, of both libraries' reads ``keys..., clone (of the first), row_id``."""
+    merged = libraries.where("status <> 'first'").select(*keys, F.col(clone).alias("_into"))
+    moved = second.join(merged, list(keys)).select(*keys, F.col("_into").alias(clone), "row_id")
+    return first.select(*keys, clone, "row_id").unionByName(moved)
+
+
+def first_columns(df: DataFrame, n: int = 9) -> DataFrame:
+    """A library table cut to its first ``n`` columns, as counts expect it."""
+    return df.select(*(F.col(f"`{c}`") for c in df.columns[:n]))
+
+
 def convert_library(df: DataFrame, mode: str, virtual: str = "virtual", up: str = "up") -> DataFrame:
     """``df`` with ``barcode`` as other experiments read it: ``same`` (the virtual one), ``up`` or ``down`` (the virtual one without the up barcode)."""
     if mode not in ("same", "up", "down"):

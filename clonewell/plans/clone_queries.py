@@ -135,6 +135,11 @@ _BLOCKS = (
 )
 
 
+def blocks_of(table_name: str) -> str:
+    """The translation in SQL of another table of calls; the reading frame is still that of all calls."""
+    return _BLOCKS.replace("FROM cl, fr WHERE pos BETWEEN 1 AND length(orf)", f"FROM {table_name}, fr WHERE pos BETWEEN 1 AND length(orf)").replace("AS off_target FROM cl GROUP BY", f"AS off_target FROM {table_name} GROUP BY")
+
+
 @query(B.with_tables("cl") + _BLOCKS + "SELECT mv AS movie, hl AS hole, hgvs_c, off_target, hgvs_p, codon_hgvs, codon_changes, aa_changes FROM hg")
 def hgvs_translate(spark: SparkSession, folder: str) -> DataFrame:
     return T.translations(B.calls(spark, folder), reading_frame(spark, folder), ["movie", "hole"])

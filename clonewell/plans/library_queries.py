@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
 from clonewell.functions import seq as S
-from clonewell.operators import library as L
+from clonewell.functions.reads import hole_of, movie_of, operation_of
+from clonewell.operators import extract as X, library as L
 from clonewell.plans import base as B
-from clonewell.session import small, table
+from clonewell.session import small, stage, table
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -178,6 +179,44 @@ def library_merge(spark: SparkSession, folder: str) -> DataFrame:
     return L.merge_libraries(c.where("up IS NOT NULL"), c.withColumn("virtual", F.substring("virtual", 1, 25)), key="virtual")
 
 
+@query(
+    _W("clones")
+    + """, rp AS (SELECT lower(movie) AS mv, max(replicate) AS replicate FROM movies WHERE movie IS NOT NULL GROUP BY 1),
+    rr AS (SELECT v.mv, v.hl, replicate, virtual, up, coalesce(string_agg(c.mut, ';' ORDER BY c.pos, c.mut), '=') AS geno FROM virt v JOIN rp USING (mv) JOIN rg g ON g.mv = v.mv AND g.hl = v.hl LEFT JOIN cl c ON c.mv = v.mv AND c.hl = v.hl WHERE up IS NOT NULL GROUP BY ALL),
+    a AS (SELECT up, geno, virtual, count(*) AS size, row_number() OVER (PARTITION BY up, geno ORDER BY count(*) DESC, virtual) AS k FROM rr WHERE replicate = 1 GROUP BY up, geno, virtual),
+    b AS (SELECT up, geno, count(*) AS more FROM rr WHERE replicate = 2 GROUP BY ALL)
+    SELECT a.up, a.geno, virtual, CAST(size + CASE WHEN k = 1 THEN coalesce(more, 0) ELSE 0 END AS BIGINT) AS size, CASE WHEN k = 1 AND more IS NOT NULL THEN 'merged' ELSE 'first' END AS status FROM a LEFT JOIN b ON b.up = a.up AND b.geno = a.geno
+    UNION ALL SELECT up, geno, NULL, more, CASE WHEN up IN (SELECT up FROM a) THEN 'conflict' ELSE 'new' END FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.up = b.up AND a.geno = b.geno)"""
+)
+def library_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The clones of the movies of the first replicates, joined by those of the second; a clone joins the largest one with its first barcode and genotype."""
+    replicate = table(spark, folder, "movies").where("movie IS NOT NULL").groupBy(F.lower("movie").alias("movie")).agg(F.max("replicate").alias("replicate"))
+    muts = F.array_join(F.transform(F.array_sort(F.transform(S.calls_of(F.col("geno")), lambda c: F.struct(c["pos"], c["mut"]))), lambda x: x["mut"]), ";")
+    reads = B.virtual_barcodes(spark, folder).where("up IS NOT NULL").join(small(replicate), "movie").join(B.read_genotypes(spark, folder), ["movie", "hole"])
+    clones = stage(reads.groupBy("replicate", "up", "virtual", F.when(muts == "", "=").otherwise(muts).alias("geno")).agg(F.count(F.lit(1)).alias("size")), "clones")
+    return L.join_libraries(clones.where("replicate = 1"), clones.where("replicate = 2"), ["up", "geno"], "virtual")
+
+
+@query(
+    """WITH c AS (SELECT regexp_extract(lower(read_id), '^\\s*@?\\s*([^/\\s@]+)/\\d+', 1) AS mv, CAST(regexp_extract(read_id, '^\\s*@?\\s*[^/\\s@]+/0*(\\d+)', 1) AS BIGINT) AS hl, call_id, attempt, refpos, upper(refbase) AS refbase, upper(readbase) AS readbase, qual,
+      CASE WHEN lower(trim(op)) IN ('sub','subst','substitution','snv','snp','mismatch','x') THEN 'sub' WHEN lower(trim(op)) IN ('ins','insertion','i') THEN 'ins' WHEN lower(trim(op)) IN ('del','deletion','d') THEN 'del' END AS op FROM bcs),
+    u AS (SELECT * FROM c WHERE refpos IS NOT NULL AND ((op = 'sub' AND length(refbase) = 1 AND length(readbase) = 1) OR (op = 'ins' AND length(readbase) > 0) OR (op = 'del' AND length(refbase) > 0))),
+    l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mv, hl, refpos ORDER BY attempt DESC, call_id DESC) AS k FROM u) WHERE k = 1),
+    q AS (SELECT *, CASE WHEN length(qual) > 0 THEN CAST(round_even(list_avg(list_transform(string_split(qual, ''), lambda b: ascii(b) - 33)), 0) AS INTEGER) ELSE 0 END AS mq FROM l),
+    t AS (SELECT mv, hl, refpos AS place, refpos || refbase || '>' || readbase || ':' || mq AS text FROM q WHERE op = 'sub' UNION ALL SELECT mv, hl, refpos, refpos || 'ins' || readbase || ':' || mq FROM q WHERE op = 'ins'
+      UNION ALL SELECT mv, hl, refpos + d, (refpos + d) || 'del:' || mq FROM (SELECT *, unnest(generate_series(0, length(refbase) - 1)) AS d FROM q WHERE op = 'del'))
+    SELECT mv AS movie, hl AS hole, string_agg(text, ';' ORDER BY place, text) AS geno FROM t GROUP BY mv, hl"""
+)
+def genotype_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The packed genotype of each read from its basecalls, of each position the latest usable delivery."""
+    t = table(spark, folder, "bcs")
+    c = t.select(movie_of(F.col("read_id")).alias("movie"), hole_of(F.col("read_id")).alias("hole"), "call_id", "attempt", "refpos", F.upper("refbase").alias("refbase"), F.upper("readbase").alias("readbase"), "qual", operation_of(F.col("op")).alias("op"))
+    usable = (F.col("op") == "sub") & (F.length("refbase") == 1) & (F.length("readbase") == 1) | (F.col("op") == "ins") & (F.length("readbase") > 0) | (F.col("op") == "del") & (F.length("refbase") > 0)
+    last = c.where(F.col("refpos").isNotNull() & usable).groupBy("movie", "hole", "refpos").agg(F.max_by(F.struct("op", "refbase", "readbase", "qual"), F.struct("attempt", "call_id")).alias("c"))
+    lines = last.select(F.struct("movie", "hole").alias("read_id"), "refpos", "c.*")
+    return X.genotype_texts(lines, 1).select("read_id.movie", "read_id.hole", "geno")
+
+
 @query(
     _W("virt", "cl")
     + """, s AS (SELECT virtual, count(*) AS size FROM virt GROUP BY virtual), m AS (SELECT virtual, mut, min(pos) AS pos, count(*) AS n, sum(q) AS q FROM virt v JOIN cl c ON c.mv = v.mv AND c.hl = v.hl GROUP BY virtual, mut)

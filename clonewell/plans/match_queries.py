@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clonewell.functions import seq as S
 from clonewell.functions.reads import hole_of, movie_of
-from clonewell.operators import neighbors as N
+from clonewell.operators import caller as R, neighbors as N
 from clonewell.operators.components import components
 from clonewell.plans import base as B
-from clonewell.session import small, table
+from clonewell.session import small, stage, table
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -177,3 +177,46 @@ def fuzzy_counts(spark: SparkSession, folder: str) -> DataFrame:
     per = per.join(small(B.samples(spark, folder).select("sample")), "sample", "left_semi")
     hits = N.nearest(per.select("seq"), _library(spark, folder), 1).where("hit IS NOT NULL").select("seq", "hit")
     return per.join(hits, "seq").groupBy("sample", "hit").agg(F.sum("n").alias("n"))
+
+
+_MATES = "AGTC([ACGTN]{6,10}?)GAC"
+
+
+@query(
+    _W("bar")
+    + f""", m AS (SELECT coalesce(a.mv, b.mv) AS sample, a.seq AS s1, b.seq AS s2 FROM (SELECT * FROM bar WHERE bcid = 1) a FULL JOIN (SELECT * FROM bar WHERE bcid = 2) b ON a.mv = b.mv AND a.hl = b.hl),
+    x AS (SELECT sample, nullif(regexp_extract(s1, '{_MATES}', 1), '') AS one, nullif(regexp_extract(reverse(translate(s2, 'ACGT', 'TGCA')), '{_MATES}', 1), '') AS two FROM m),
+    c AS (SELECT sample, CASE WHEN one IS NULL THEN two WHEN two IS NULL OR one = two THEN one END AS barcode, count(*) AS n FROM x GROUP BY ALL),
+    lib AS (SELECT barcode AS seq FROM c WHERE barcode IS NOT NULL GROUP BY 1 HAVING sum(n) >= 5), d AS (SELECT DISTINCT barcode AS seq FROM c WHERE barcode IS NOT NULL),
+    p AS (SELECT d.seq, lib.seq AS hit, levenshtein(d.seq, lib.seq) AS dist FROM d JOIN lib ON abs(length(d.seq) - length(lib.seq)) <= 1 WHERE levenshtein(d.seq, lib.seq) <= 1),
+    b AS (SELECT seq, count(*) FILTER (WHERE dist = m) AS nhits, min(hit) FILTER (WHERE dist = m) AS hit FROM (SELECT *, min(dist) OVER (PARTITION BY seq) AS m FROM p) GROUP BY seq)
+    SELECT sample, CASE WHEN barcode IS NULL THEN 'failedExtraction' WHEN nhits IS NULL THEN 'noMatch' WHEN nhits > 1 THEN 'ambiguous' ELSE 'hit' END AS fate, CASE WHEN nhits = 1 THEN hit END AS hit, CAST(sum(n) AS BIGINT) AS n
+    FROM c LEFT JOIN b ON b.seq = c.barcode GROUP BY ALL"""
+)
+def called_reads(spark: SparkSession, folder: str) -> DataFrame:
+    """Reads to counts: what stands between the flanks of both loci, taken as mates, by the nearest barcode with at least five reads; with the fates of all reads."""
+    mates = paired_loci(spark, folder).select(F.col("movie").alias("sample"), F.concat_ws("/", "movie", F.col("hole").cast("string")).alias("read_id"), F.col("first").alias("seq"), F.col("second").alias("seq2"))
+    barcodes = stage(R.read_barcodes(mates, "AGTC", "GAC", 8, 2), "barcodes")
+    library = barcodes.where("barcode IS NOT NULL").groupBy(F.col("barcode").alias("seq")).agg(F.count(F.lit(1)).alias("n")).where("n >= 5").select("seq")
+    return R.call_reads(barcodes, library, 1)
+
+
+@query(
+    _W("ln", "rg", "cl")
+    + f""", gs AS (SELECT g.mv, g.hl, coalesce(list(DISTINCT c.mut) FILTER (WHERE c.mut IS NOT NULL), []) AS muts FROM rg g LEFT JOIN cl c ON c.mv = g.mv AND c.hl = g.hl GROUP BY g.mv, g.hl),
+    m AS (SELECT least(query_id, ref_id) AS a, greatest(query_id, ref_id) AS b, min({_DIST}) AS dist FROM barcode_matches WHERE query_id <> ref_id AND {_DIST} <= 1 GROUP BY 1, 2),
+    s AS (SELECT line_id, mv, hl, count(*) OVER (PARTITION BY seq) AS n FROM ln WHERE seq IS NOT NULL),
+    j AS (SELECT a, b, dist, p.n AS na, q.n AS nb, len(list_intersect(x.muts, y.muts)) AS common, len(list_distinct(list_concat(x.muts, y.muts))) AS total FROM m JOIN s p ON p.line_id = a JOIN s q ON q.line_id = b JOIN gs x ON x.mv = p.mv AND x.hl = p.hl JOIN gs y ON y.mv = q.mv AND y.hl = q.hl)
+    SELECT a, b, dist + total - common = 0 OR ((greatest(na, nb) <= 4 OR abs(log2(na / nb::DOUBLE)) >= pow(2.0, dist - 3)) AND CASE WHEN total = 0 THEN 1.0 ELSE common / total::DOUBLE END >= 0.2) AS merged FROM j"""
+)
+def older_merge_criteria(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the older clustering would join the clusters of two similar lines: by distance of barcodes and genotypes, sizes and Jaccard similarity."""
+    muts = F.array_distinct(F.transform(S.calls_of(F.col("geno")), lambda c: c["mut"]))
+    counts = B.lines(spark, folder).where("seq IS NOT NULL").groupBy("seq").agg(F.count(F.lit(1)).alias("n"))
+    genotypes = B.read_genotypes(spark, folder).select("movie", "hole", muts.alias("muts"))
+    of_line = stage(B.lines(spark, folder).where("seq IS NOT NULL").select("line_id", "movie", "hole", "seq").join(counts, "seq").join(genotypes, ["movie", "hole"]).select("line_id", "n", "muts"), "sized")
+    pairs = match_pairs(spark, folder).where("dist <= 1").select("a", "b", "dist")
+    one, two = (of_line.select(F.col("line_id").alias(k), F.col("n").alias(f"n{k}"), F.col("muts").alias(f"m{k}")) for k in ("a", "b"))
+    both = pairs.join(one, "a").join(two, "b")
+    apart = F.size(F.array_union("ma", "mb")) - F.size(F.array_intersect("ma", "mb"))
+    return both.select("a", "b", S.older_merge(F.col("na"), F.col("nb"), F.col("dist"), apart, S.jaccard(F.col("ma"), F.col("mb")), 0.2).alias("merged"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clonewell.functions import seq as S
-from clonewell.operators import enrich as E, library as L
+from clonewell.operators import enrich as E, library as L, translate as T
 from clonewell.plans import assay_queries as A, base as B, clone_queries as K
 from clonewell.session import small, table
 
@@ -159,3 +159,20 @@ def single_mutants(spark: SparkSession, folder: str) -> DataFrame:
     """Reads whose substitutions change exactly one codon, with that change."""
     c = K.codon_changes(spark, folder).groupBy("movie", "hole").agg(F.count(F.lit(1)).alias("k"), F.any_value("hgvs_p").alias("hgvs_p"))
     return c.where((F.col("k") == 1) & F.col("hgvs_p").rlike(r"^p\.[A-Za-z]{3}\d+([A-Za-z]{3}|=)$")).select("movie", "hole", "hgvs_p")
+
+
+@query(
+    A._V.replace(" fr AS (SELECT lib_row", " frq AS (SELECT lib_row")
+    + ", cm AS (SELECT DISTINCT mut AS mv, 0 AS hl, pos, kind, ref, alt, mut FROM cl)"
+    + K.blocks_of("cm")
+    + ", rg0 AS (SELECT DISTINCT lib_row AS mv, 0 AS hl FROM lr)"
+    + K._CLASS.replace("FROM rg LEFT JOIN hg ON hg.mv = rg.mv AND hg.hl = rg.hl", "FROM rg0 rg LEFT JOIN hg ON hg.mv = rg.mv AND hg.hl = rg.hl")
+    + "SELECT cond, class, CAST(floor(lr / 0.05) AS BIGINT) AS bin, count(*) AS n FROM lr JOIN vk ON vk.mv = lr.lib_row WHERE allfreq >= 0.0002 AND lr IS NOT NULL AND abs(lr / 0.05 - round(lr / 0.05)) > 1e-6 GROUP BY ALL"
+)
+def ratios_by_class(spark: SparkSession, folder: str) -> DataFrame:
+    """Histogram of the log ratios of well-measured rows by condition and class: wild type, frameshift, stop, synonymous, missense. Ratios on a bin's border are left out."""
+    calls = B.calls(spark, folder).select("mut", "pos", "kind", "ref", "alt").distinct()
+    meaning = T.translations(calls.withColumn("row", F.col("mut")), K.reading_frame(spark, folder), ["row"]).select("row", T.variant_class(F.col("hgvs_p"), F.col("aa_changes")).alias("class"))
+    r = E.passing(A._lrs(spark, folder), A.FREQ).where("lr IS NOT NULL AND abs(lr / 0.05 - round(lr / 0.05)) > 1e-6")
+    both = r.join(meaning, F.col("lib_row") == F.col("row"), "left").withColumn("class", F.coalesce("class", F.lit("WT")))
+    return both.groupBy("cond", "class", F.floor(F.col("lr") / 0.05).alias("bin")).agg(F.count(F.lit(1)).alias("n"))

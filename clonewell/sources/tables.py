@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clonewell.session import small
@@ -69,6 +71,20 @@ def read_counters(spark: SparkSession, path: str) -> DataFrame:
     return t.where("name <> '' AND n <> ''").groupBy("name").agg(F.sum(F.col("n").cast("bigint")).alias("n"))
 
 
+def read_log_counters(spark: SparkSession, path: str) -> DataFrame:
+    """``file, total, extract, passfilter, failed_extraction, failed_filter`` of extraction logs, whose fourth to sixth lines say ``there are N``; one row per file, null where a line doesn't."""
+    lines = F.split("value", "\n")
+    found = [F.nullif(F.regexp_extract(F.get(lines, F.lit(k)), r"there are (\d+) ", 1), F.lit("")).cast("bigint") for k in (3, 4, 5)]
+    logs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), *(c.alias(n) for c, n in zip(found, ("total", "extract", "passfilter"))))
+    return logs.select("*", (F.col("total") - F.col("extract")).alias("failed_extraction"), (F.col("extract") - F.col("passfilter")).alias("failed_filter"))
+
+
+def concatenate(*parts: DataFrame) -> DataFrame:
+    """The rows of chunks with their ``chunk`` number, so that sorting by it keeps the chunks' order where a sink needs it."""
+    numbered = [p.withColumn("chunk", F.lit(k)) for k, p in enumerate(parts)]
+    return reduce(DataFrame.unionByName, numbered)
+
+
 def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
     """Compressed CSV files with header; arrays must be packed before."""
     df.write.csv(path, header=True, compression="gzip", quoteAll=quote_all)

@@ -65,3 +65,21 @@ def test_a_clone_with_a_stop_counts_for_the_stop_only(spark):
     clones = spark.createDataFrame(data, "clone string, muts array<string>, k int, score double, sd double")
     est = {r.mut: r for r in E.variant_estimates(clones, 2).collect()}
     assert est["W5*"].score_single is None and est["W5*"].score_multi == 0.1 and est["A2V"].score_multi == 0.8
+
+
+def test_exact_medians(spark):
+    import random
+    from statistics import median
+
+    r = random.Random(4)
+    rows = [(r.choice(["x", "y", None]), None if r.random() < 0.1 else round(r.gauss(0, 1), 1)) for _ in range(2001)] + [("z", 1.0), ("z", 2.0), ("w", float("nan")), ("w", None)]
+    got = {x.k: x["median"] for x in E.exact_medians(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").collect()}
+    assert got == {k: pytest.approx(median(v for q, v in rows if q == k and v is not None)) for k in ("x", "y", "z", None)}
+    assert E.exact_medians(spark.createDataFrame([], "k string, v double"), ["k"], "v").collect() == []
+
+
+def test_given_medians_and_bottleneck(spark, lrs):
+    medians = E.control_medians(lrs, F.col("lib_row") == "wt", F.col("lib_row") == "none", given=(None, -1.5)).first()
+    assert medians.wt_med == pytest.approx(0.460731, abs=1e-6) and medians.null_med == -1.5
+    stats = spark.createDataFrame([("a", "A", "All", 5.0), ("a", "A", "F5", 1.0), ("b", "A", "All", 2.0), ("b", "A", "F5", 2.0)], "lib_row string, assay string, cond string, mean_count double")
+    assert [r.lib_row for r in E.wide_enough(stats, 2).collect()] == ["b"]

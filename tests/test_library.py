@@ -69,3 +69,15 @@ def test_histogram_and_conversion(spark):
     assert [L.convert_library(lib, m).first().barcode for m in ("same", "up", "down")] == ["AACC", "AA", "CC"]
     with pytest.raises(ValueError):
         L.convert_library(lib, "odd")
+
+
+def test_join_libraries(spark):
+    one = spark.createDataFrame([("x", "g1", "v1", 3), ("x", "g1", "v2", 5), ("x", "g1", "v3", 5), ("y", "g1", "v4", 1), (None, "g1", "v5", 1)], "up string, geno string, virtual string, size bigint")
+    two = spark.createDataFrame([("x", "g1", "w1", 2), ("x", "g1", "w2", 4), ("x", "g2", "w3", 1), ("z", "g1", "w4", 7)], "up string, geno string, virtual string, size bigint")
+    out = L.join_libraries(one, two, ["up", "geno"], "virtual")
+    assert rows(out) == sorted([("x", "g1", "v1", 3, "first"), ("x", "g1", "v2", 11, "merged"), ("x", "g1", "v3", 5, "first"), ("x", "g2", None, 1, "conflict"), ("y", "g1", "v4", 1, "first"), ("z", "g1", None, 7, "new")], key=repr)
+    reads = lambda d, mark: d.where("up IS NOT NULL").select("up", "geno", "virtual", F.concat(F.lit(mark), "virtual").alias("row_id"))
+    members = L.join_members(reads(one, "a"), reads(two, "b"), out, ["up", "geno"], "virtual")
+    assert {r.row_id for r in members.where("virtual = 'v2'").collect()} == {"av2", "bw1", "bw2"} and members.count() == 8
+    assert L.join_libraries(one.limit(0), two, ["up", "geno"], "virtual").count() == 3 and L.join_libraries(one, two.limit(0), ["up", "geno"], "virtual").count() == 4
+    assert L.first_columns(one, 2).columns == ["up", "geno"]

@@ -1,5 +1,6 @@
 """Similarity joins, components, clusters and consensus against brute force and hand-made cases."""
 
+import math
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clonewell.operators import cluster as C, consensus as K, neighbors as N
 from clonewell.operators.components import components
+from clonewell.session import stage
 
 
 def distance(a, b):
@@ -119,3 +121,81 @@ def test_components_of_a_long_shuffled_chain(spark):
     random.Random(3).shuffle(ids)
     df = spark.createDataFrame(list(zip(ids, ids[1:])), "a bigint, b bigint")
     assert {r.component for r in components(df, "a", "b", max_rounds=14).collect()} == {0}
+
+
+def greedy_walk(reads, calls, max_diff, min_jaccard, min_quality, order):
+    """The one-by-one clustering that the rounds replace: pairs of reads in a given order, each joined at once if it may be."""
+    def similar(left, right):
+        seen = {}
+        for side, ids in enumerate((left, right)):
+            for i in ids:
+                for m, q in calls.get(i, {}).items():
+                    seen.setdefault(m, []).append((side, q))
+        likely = {m: {s for s, q in v if q > 0} for m, v in seen.items() if sum(q > 0 for _, q in v) > 1 or sum(q for _, q in v) > min_quality}
+        both = sum(len(s) == 2 for s in likely.values())
+        return not likely or both / len(likely) > min_jaccard
+
+    member = {r: {r} for r in reads}
+    codes = sorted(set(reads.values()))
+    known = {(a, b): distance(a, b) for a in codes for b in codes}
+    for c in codes:
+        ids = [r for r in reads if reads[r] == c]
+        likely = {}
+        for r in ids:
+            for m, q in calls.get(r, {}).items():
+                likely.setdefault(m, []).append(q)
+        kept = {r: {m for m, q in calls.get(r, {}).items() if len(likely[m]) > 1 or sum(likely[m]) > min_quality} for r in ids}
+        for i, r in enumerate(ids):
+            for s in ids[:i]:
+                a, b = kept[r], kept[s]
+                if not a and not b or a & b and len(a & b) / len(a | b) > min_jaccard:
+                    joined = member[r] | member[s]
+                    for x in joined:
+                        member[x] = joined
+    for d in range(1, max_diff + 1):
+        pairs = [(r, s) for r in reads for s in reads if r < s and known[reads[r], reads[s]] == d]
+        order.shuffle(pairs)
+        for r, s in pairs:
+            one, two = member[r], member[s]
+            if one is two or abs(math.log2(len(one) / len(two))) < d:
+                continue
+            if max(known[reads[x], reads[y]] for x in one for y in two) > 2 * d or not similar(one, two):
+                continue
+            joined = one | two
+            for x in joined:
+                member[x] = joined
+    return {r: min(m) for r, m in member.items()}
+
+
+def test_agreement_with_the_one_by_one_walk(spark):
+    """On a simulated library: share of pairs of reads on which both clusterings agree, of all pairs that one of them puts together."""
+    r = random.Random(12)
+    clones = [("".join(r.choice("ACGT") for _ in range(20)), {f"{r.randint(1, 90)}A>G" for _ in range(r.randint(0, 3))}) for _ in range(25)]
+    reads, calls = {}, {}
+    for k in range(260):
+        code, muts = clones[min(24, int(r.expovariate(0.12)))]
+        if r.random() < 0.25:
+            at = r.randrange(20)
+            code = code[:at] + r.choice("ACGT") + code[at + 1 :]
+        reads[f"r{k:03d}"] = code
+        calls[f"r{k:03d}"] = {m: r.randint(25, 60) for m in muts if r.random() < 0.95} | ({f"{r.randint(91, 150)}C>T": r.randint(1, 20)} if r.random() < 0.2 else {})
+    df = spark.createDataFrame(list(reads.items()), "read_id string, barcode string")
+    called = spark.createDataFrame([(k, int(m[:-3]), m, q) for k, v in calls.items() for m, q in v.items()], "read_id string, pos int, mut string, q int")
+    seeds = stage(C.seed_clusters(df, called, 0.2, 1, 32))
+    ours = {x.read_id: x.cluster for x in C.merge_clusters(seeds, called, 1, 0.2, 32).collect()}
+    together = lambda c: {(a, b) for a in c for b in c if a < b and c[a] == c[b]}
+    mine, shares, among = together(ours), [], []
+    walks = [together(greedy_walk(reads, calls, 1, 0.2, 32, random.Random(seed))) for seed in range(5)]
+    for k, w in enumerate(walks):
+        shares.append(len(w & mine) / len(w | mine))
+        among += [len(w & v) / len(w | v) for v in walks[:k]]
+    print(f"agreement with the walk {min(shares):.3f} to {max(shares):.3f}; of walks in different orders {min(among):.3f} to {max(among):.3f}")
+    assert min(shares) > 0.9 and set(ours) == set(reads)
+
+
+def test_a_barcode_of_very_many_states(spark):
+    """100,000 reads of one barcode, each with calls of its own and one that all share: links grow with the states, not with their pairs."""
+    reads = spark.range(100_000).select(F.concat(F.lit("r"), F.format_string("%06d", "id")).alias("read_id"), F.lit("ACGT" * 6).alias("barcode"))
+    calls = reads.select("read_id", F.explode(F.array(F.lit("5A>G"), F.concat(F.lit("9ins"), "read_id"))).alias("mut")).select("read_id", F.lit(5).alias("pos"), "mut", F.lit(60).alias("q"))
+    got = C.seed_clusters(reads, calls, 0.2, 1, 32).groupBy("cluster").count().collect()
+    assert [tuple(x) for x in got] == [("r000000", 100_000)]
