@@ -22,6 +22,7 @@ def surviving_values(
     trust_rank: Column,
     time: Column,
     min_rows: int = 2,
+    completeness: str = "set",
 ) -> DataFrame:
     """Rows ``keys..., field, row_id, layer, n_rows``: for each group and field the record whose value survives.
 
@@ -31,20 +32,24 @@ def surviving_values(
     The survivor starts as the first record of layer 1 by the policy (rank, time, id); its gaps are
     filled from the rest of layer 1 in policy order, then from the following layers.
 
-    Completeness is compared as the set of usable fields, not as their number: so the best usable
+    With ``completeness`` ``set``, the sets of usable fields are compared, not their numbers: so the best usable
     record of a field by the policy is never dominated, and the value of every field is the one the
-    policy prefers among all usable values.
+    policy prefers among all usable values. With ``number``, a record that is trusted more, later and has as many usable fields dominates one
+    with others, whose values then fill gaps from the following layers only.
 
     Scale: within one group, all records of equal rank and equal set of usable fields form a chain
     whose head dominates the rest. Only these heads can give a value, and a hash aggregate finds them
     with map-side combining; a group of any size is left with at most (ranks x 2^fields) heads, and the
-    layers are computed on those. No group is gathered in one task.
+    layers are computed on those. No group is gathered in one task. Ranks are meant to be
+    few, as those of registered origins are: the heads of one group lie in one row, so a rank that takes a million values needs coarser steps first.
 
     Null keys: the record belongs to no group. Null rank: behind all ranks. Null time: earliest. Null
     id: the record is ignored. A field without usable value gives no row. Groups of fewer than
     ``min_rows`` records give none. Repeated records count as often as they stand; ties go to the
     smallest id. Only the given expressions are read, so clashing column names don't matter.
     """
+    if completeness not in ("set", "number"):
+        raise ValueError(f"unknown completeness {completeness}")
     if len(usable) > 16:
         raise ValueError("at most 16 fields: layers are computed over their subsets")
     mask = reduce(lambda a, b: a + b, (F.when(c, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(usable.values())))
@@ -62,7 +67,8 @@ def surviving_values(
     )
 
     def dominates(y: Column, x: Column) -> Column:  # y stands before x in policy order, so its rank is no worse
-        return (y["late"] <= x["late"]) & (y["mask"].bitwiseAND(x["mask"]) == x["mask"])
+        enough = y["mask"].bitwiseAND(x["mask"]) == x["mask"] if completeness == "set" else F.bit_count(y["mask"]) >= F.bit_count(x["mask"])
+        return (y["late"] <= x["late"]) & enough
 
     def add(done: Column, x: Column) -> Column:
         above = F.array_max(F.transform(F.filter(done, lambda y: dominates(y, x)), lambda y: y["layer"]))
@@ -83,13 +89,13 @@ def surviving_values(
     )
 
 
-def surviving_records(df: DataFrame, keys: dict[str, Column], row_id: Column, fields: dict[str, tuple[Column, Column]], trust_rank: Column, time: Column, min_rows: int = 2) -> DataFrame:
-    """One built record per group: ``keys..., n_rows`` and each field's surviving value (null where none is usable).
+def surviving_records(df: DataFrame, keys: dict[str, Column], row_id: Column, fields: dict[str, tuple[Column, Column]], trust_rank: Column, time: Column, min_rows: int = 2, completeness: str = "set") -> DataFrame:
+    """One built record per group: ``keys..., n_rows`` and each field's surviving value (null where none is usable); ``completeness`` as in ``surviving_values``.
 
     ``fields`` gives name -> (value, usable). The values are fetched by the ids ``surviving_values``
     names, so wide values don't pass through the aggregation.
     """
-    best = surviving_values(df, keys, row_id, {n: u for n, (_, u) in fields.items()}, trust_rank, time, min_rows)
+    best = surviving_values(df, keys, row_id, {n: u for n, (_, u) in fields.items()}, trust_rank, time, min_rows, completeness)
     values = df.select(row_id.alias("row_id"), *(v.alias(f"_{n}") for n, (v, _) in fields.items()))
     value = reduce(lambda a, n: a.when(F.col("field") == n, F.col(f"_{n}").cast("string")), fields, F.when(F.lit(False), F.lit(None).cast("string")))
     found = best.join(values, "row_id").withColumn("_value", value)

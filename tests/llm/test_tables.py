@@ -58,6 +58,20 @@ def test_survivor_layers_and_records(spark):
     assert survivors(df.limit(0)).collect() == [] and survivors(df.limit(0), surviving_records).collect() == []
 
 
+def test_gaps_are_filled_from_the_second_layer(spark):
+    """By number of usable fields, the newest and most trusted record dominates one that has the other field."""
+    rows = [(1, 1, "a1", None, 1, 9, "", ""), (1, 2, None, "b2", 2, 5, "", ""), (1, 3, None, "b3", 3, 7, "", ""), (1, 4, "a4", "b4", 4, 1, "", "")]
+    df = spark.createDataFrame(rows, RECORDS)
+    got = {r.field: (r.row_id, r.layer) for r in survivors(df, completeness="number").collect()}
+    assert got == {"a": (1, 1), "b": (4, 1)}, "the complete record is in the first layer"
+    got = {r.field: (r.row_id, r.layer) for r in survivors(df.where("id < 4"), completeness="number").collect()}
+    assert got == {"a": (1, 1), "b": (2, 2)}, "the gap is filled from the second"
+    assert {r.field: (r.row_id, r.layer) for r in survivors(df.where("id < 4")).collect()} == {"a": (1, 1), "b": (2, 1)}
+    assert [tuple(r) for r in survivors(df.where("id < 4"), surviving_records, completeness="number").collect()] == [(1, 3, "a1", "b2")]
+    with pytest.raises(ValueError):
+        survivors(df, completeness="most")
+
+
 def test_survivors_of_a_group_with_most_rows(spark):
     df = spark.range(30000).selectExpr("if(id % 3 = 0, -1, id) AS g", "id", "if(id % 7 = 0, 'a', null) AS a", "'b' AS b", "cast(id % 5 as int) AS rank", "id % 1000 AS t")
     got = {(r.g, r.field): r.row_id for r in survivors(df).collect()}
