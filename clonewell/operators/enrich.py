@@ -94,7 +94,7 @@ def control_medians(lrs: DataFrame, is_wt: Column, is_null: Column, min_freq: fl
     controls = lrs.select("assay", "cond", "lr", F.explode(kinds).alias("_kind"))
     medians = exact_medians(controls, ["assay", "cond", "_kind"], "lr")
     wide = medians.groupBy("assay", "cond").agg(*(F.max(F.when(F.col("_kind") == k, F.col("median"))).alias(f"{k}_med") for k in ("wt", "null")))
-    out = lrs.select("assay", "cond").distinct().join(small(wide), ["assay", "cond"], "left")  # one row per condition
+    out = lrs.select("assay", "cond").distinct().join(small(stage(wide, "medians")), ["assay", "cond"], "left")  # one row per condition
     return out.select("assay", "cond", *(F.lit(float(g)).alias(n) if g is not None else F.col(n) for n, g in zip(("wt_med", "null_med"), given)))
 
 

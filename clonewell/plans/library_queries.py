@@ -343,4 +343,4 @@ def locus_candidates(spark: SparkSession, folder: str) -> DataFrame:
     usual = t.groupBy("bcid", "refpos", "bclen").agg(F.count(F.lit(1)).alias("n"))
     loci = usual.groupBy(F.col("bcid").alias("locus")).agg(F.max_by("refpos", F.struct("n", -F.col("refpos"))).alias("at"), F.max_by("bclen", F.struct("n", -F.col("bclen"))).alias("len"))
     near = (F.abs(F.col("refpos") - F.col("at")) < 3) & (F.col("bclen") >= F.col("len") - 3) & (F.col("bcid") == F.col("locus"))
-    return t.join(small(loci), near).select("line_id", "refpos", "bclen")
+    return t.join(small(stage(loci, "loci")), near).select("line_id", "refpos", "bclen")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clonewell.functions import seq as S
 from clonewell.operators import enrich as E, library as L, translate as T
 from clonewell.plans import assay_queries as A, base as B, clone_queries as K
-from clonewell.session import small, table
+from clonewell.session import small, stage, table
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -86,7 +86,7 @@ def rebased_genotypes(spark: SparkSession, folder: str) -> DataFrame:
     calls = B.calls(spark, folder)
     total = reads.agg(F.count(F.lit(1)).alias("total"))
     common = calls.groupBy("mut").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(total)).where("n * 100 > total").select("mut")  # one row; at most a few hundred remain
-    kept = calls.join(small(common), "mut", "left_anti")
+    kept = calls.join(small(stage(common, "common")), "mut", "left_anti")
     texts = kept.groupBy("movie", "hole").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "mut"))), lambda x: x["mut"]), ";").alias("g"))
     return reads.join(texts, ["movie", "hole"], "left").select("movie", "hole", F.coalesce("g", F.lit("=")).alias("geno"))
 
