@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clonewell.operators.components import components
-from clonewell.operators.neighbors import neighbors
+from clonewell.operators.neighbors import family_neighbors
 from clonewell.session import stage, unstage
 
 
@@ -84,12 +84,12 @@ def merge_clusters(seeds: DataFrame, calls: DataFrame, max_diff: int = 1, min_ja
     """
     one = stage(calls.where("mut IS NOT NULL").groupBy("read_id", "mut").agg(F.max("q").alias("q")), "calls")
     codes = seeds.select(F.col("barcode").alias("seq")).distinct()
-    pairs = neighbors(codes, codes, 2 * max_diff, same=True)
+    pairs = family_neighbors(codes, max_diff)
     edges = stage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist")), "distances")
     now = stage(seeds.select("read_id", "barcode", "cluster"), "clusters")
     for d in range(1, max_diff + 1):
         while True:
-            hooks = stage(_hooks(now, one, edges, d, min_jaccard, min_quality), "hooks")
+            hooks = _hooks(now, one, edges, d, min_jaccard, min_quality)
             if not hooks.limit(1).count():
                 break
             new = now.join(hooks, "cluster", "left").select("read_id", "barcode", F.coalesce("into", "cluster").alias("cluster"))
@@ -103,25 +103,38 @@ def merge_clusters(seeds: DataFrame, calls: DataFrame, max_diff: int = 1, min_ja
 
 
 def _hooks(now: DataFrame, calls: DataFrame, edges: DataFrame, d: int, min_jaccard: float, min_quality: int) -> DataFrame:
-    """``cluster, into``: the joins of one round."""
-    sizes = now.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("barcode").alias("codes"))
-    members = now.select("cluster", "barcode").distinct()
-    one = members.select(F.col("cluster").alias("c1"), F.col("barcode").alias("a"))
-    two = members.select(F.col("cluster").alias("c2"), F.col("barcode").alias("b"))
-    far = one.join(edges.where(F.col("dist") <= 2 * d), "a").join(two, "b").where("c1 <> c2").groupBy("c1", "c2").agg(F.min("dist").alias("least"), F.count(F.lit(1)).alias("apart"))
-    s1 = sizes.select(F.col("cluster").alias("c1"), F.col("n").alias("n1"), F.col("codes").alias("k1"))
-    s2 = sizes.select(F.col("cluster").alias("c2"), F.col("n").alias("n2"), F.col("codes").alias("k2"))
-    pairs = far.where(F.col("least") == d).join(s1, "c1").join(s2, "c2").where(F.log2(F.col("n2") / F.col("n1")) >= d)
-    # barcodes that both clusters hold, counted only for pairs that may join: clusters of one barcode alone are never paired
-    common = pairs.where(F.col("apart") < F.col("k1") * F.col("k2")).select("c1", "c2").join(one, "c1").join(two, "c2").where("a = b").groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("equal"))
-    both_known = pairs.join(common, ["c1", "c2"], "left").where(F.col("apart") + F.coalesce("equal", F.lit(0)) == F.col("k1") * F.col("k2"))
-    fit = both_known.select("c1", "c2", "least", "n1", "n2")
-    sums = now.select("read_id", "cluster").join(calls, "read_id").groupBy("cluster", "mut").agg(F.count_if(F.col("q") > 0).alias("m"), F.sum("q").alias("q"))
-    both = fit.select("c1", "c2", F.explode(F.array("c1", "c2")).alias("cluster")).join(sums, "cluster")
+    """``cluster, into``: the joins of one round, staged."""
+    sums = stage(now.select("read_id", "cluster").join(calls, "read_id").groupBy("cluster", "mut").agg(F.count_if(F.col("q") > 0).alias("m"), F.sum("q").alias("q")), "sums")
+    likely = (F.col("q") > 0) & ((F.col("m") > 1) | (F.col("q") > min_quality))
+    known = sums.groupBy("cluster").agg(F.bool_or(likely & F.lit(min_jaccard >= 0)).alias("known"))
+    codes = now.groupBy("cluster", "barcode").agg(F.count(F.lit(1)).alias("n"))
+    sizes = codes.groupBy("cluster").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("codes"), F.min("barcode").alias("low"), F.max("barcode").alias("high"))
+    members = stage(codes.select("cluster", "barcode").join(sizes.join(known, "cluster", "left"), "cluster").withColumn("known", F.coalesce("known", F.lit(False))), "members")
+    one = members.select(F.col("cluster").alias("c1"), F.col("barcode").alias("a"), F.col("n").alias("n1"), F.col("codes").alias("k1"), F.col("known").alias("known1"))
+    two = members.select(F.col("cluster").alias("c2"), F.col("barcode").alias("b"), F.col("n").alias("n2"), F.col("codes").alias("k2"), F.col("known").alias("known2"), "low", "high")
+    # barcodes that lie near enough to all of a cluster; two of its barcodes tell most that don't. Only clusters of several reads can be joined
+    beside = edges.where(F.col("dist") <= d).join(two.where(F.log2("n2") >= d), "b").groupBy("c2", "n2", "k2", "known2", "low", "high", "a").agg(F.min("dist").alias("dist"))
+    beside = stage(beside.where((F.col("k2") == 1) | (F.levenshtein("a", "low", 2 * d) >= 0) & (F.levenshtein("a", "high", 2 * d) >= 0)).drop("low", "high"), "beside")
+    within = lambda x, *by: x.groupBy(*by).agg(F.min(F.levenshtein("a", "b", 2 * d)).alias("worst")).where("worst >= 0").select(*by)
+    close = within(beside.where("k2 > 1").select("c2", "a").join(two.select("c2", "b"), "c2"), "c2", "a")
+    close = stage(beside.where("k2 = 1").unionByName(beside.join(close, ["c2", "a"])), "close")
+    # of two clusters without a call in common, both must be without likely calls, and their calls need no further comparison
+    m1, m2 = (sums.select(F.col("cluster").alias(c), "mut") for c in ("c1", "c2"))
+    bare = close.where("NOT known2").join(one.where("NOT known1"), "a").withColumn("common", F.lit(False))
+    common = close.join(m2, "c2").join(one.join(m1, "c1"), ["a", "mut"]).drop("mut").withColumn("common", F.lit(True))
+    near = bare.unionByName(common).where((F.col("c1") != F.col("c2")) & (F.log2(F.col("n2") / F.col("n1")) >= d))
+    pairs = near.groupBy("c1", "c2", "n1", "n2", "k1").agg(F.min("dist").alias("least"), F.bool_or("common").alias("common"))
+    pairs = stage(pairs.where(F.col("least") == d), "pairs")
+    held = within(pairs.where("k1 > 1").select("c1", "c2").join(one.select("c1", "a"), "c1").join(two.select("c2", "b"), "c2"), "c1", "c2")
+    fit = stage(pairs.where("k1 = 1").unionByName(pairs.join(held, ["c1", "c2"])), "fit")
+    both = fit.where("common").select("c1", "c2", F.explode(F.array("c1", "c2")).alias("cluster")).join(sums, "cluster")
     per_mut = both.groupBy("c1", "c2", "mut").agg(
         F.sum("m").alias("m"), F.sum("q").alias("q"), F.bool_or((F.col("cluster") == F.col("c1")) & (F.col("q") > 0)).alias("in1"), F.bool_or((F.col("cluster") == F.col("c2")) & (F.col("q") > 0)).alias("in2")
     )
-    likely = per_mut.where((F.col("m") > 1) | (F.col("q") > min_quality)).groupBy("c1", "c2").agg(F.count_if(F.col("in1") & F.col("in2")).alias("both"), F.count_if(F.col("in1") | F.col("in2")).alias("any"))
-    alike = fit.join(likely, ["c1", "c2"], "left").where(F.col("any").isNull() | (F.col("any") == 0) | (F.col("both") / F.nullif(F.col("any"), F.lit(0)) > min_jaccard))
-    best = alike.groupBy("c1").agg(F.min(F.struct("least", (-F.col("n2")).alias("size"), "c2")).alias("b")).select(F.col("c1").alias("cluster"), F.col("b.c2").alias("into"))
-    return best.join(best.select(F.col("cluster").alias("into")), "into", "left_anti").select("cluster", "into")
+    counts = per_mut.where((F.col("m") > 1) | (F.col("q") > min_quality)).groupBy("c1", "c2").agg(F.count_if(F.col("in1") & F.col("in2")).alias("both"), F.count_if(F.col("in1") | F.col("in2")).alias("any"))
+    alike = fit.join(counts, ["c1", "c2"], "left").where(F.col("any").isNull() | (F.col("any") == 0) | (F.col("both") / F.nullif(F.col("any"), F.lit(0)) > min_jaccard))
+    best = stage(alike.groupBy("c1").agg(F.min(F.struct("least", (-F.col("n2")).alias("size"), "c2")).alias("b")).select(F.col("c1").alias("cluster"), F.col("b.c2").alias("into")), "best")
+    hooks = stage(best.join(best.select(F.col("cluster").alias("into")), "into", "left_anti").select("cluster", "into"), "hooks")
+    for old in (sums, members, beside, close, pairs, fit, best):
+        unstage(old)
+    return hooks

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations, pairwise, product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -53,6 +54,41 @@ def _spots(k: int, i: int) -> Column:
     return F.transform(shifts, lambda d: F.struct(F.lit(i).alias("i"), F.substr(F.col("a"), cut(i) + 1 + d, width).alias("piece"), (cut(i) + 1 + d).alias("at"), width.alias("len")))
 
 
+def _frames(parts: int, k: int, extra: int) -> list[tuple[tuple[int, ...], list[tuple[int, int, int]]]]:
+    """For all ways that k of a text's pieces may hold all edits: (those pieces, runs of pieces between them as (from, to, shift)), where the other text has ``extra`` characters more."""
+    found = {}
+    for touched in combinations(range(parts), k):
+        ends = [-1, *touched, parts]
+        for inner in product(range(-k, k + 1), repeat=max(0, k - 1)):
+            shifts = [0, *inner, extra] if k else [0]
+            if sum(abs(y - x) for x, y in pairwise(shifts)) <= k:
+                runs = tuple((x + 1, y, s) for (x, y), s in zip(pairwise(ends), shifts) if x + 1 < y)
+                found.setdefault((touched, runs), None)
+    return [(touched, list(runs)) for touched, runs in found]
+
+
+def family_neighbors(texts: DataFrame, k: int, parts: int | None = None) -> DataFrame:
+    """``a, b, dist``: ``neighbors`` of the texts (column ``seq``) among themselves, each pair once with a < b, for texts that share long pieces, such as barcodes joined from several loci.
+
+    Texts are cut into many pieces (``parts``, 5 k if not given), and all but k of them must stand unchanged, moved by what the edits between allow. So
+    candidates agree in nearly all of their characters, not in one piece of k + 1, which a frequent barcode of one locus fills; they are joined by a hash of
+    what is unchanged, and confirmed by ``levenshtein``. Recall is complete. Keys grow with the k-th power of ``parts``, so this is for small k.
+    """
+    parts = max(k + 1, 5 * k if parts is None else parts)
+    known = texts.select("seq").where("seq IS NOT NULL").distinct()
+
+    def keys(n: Column, extra: int) -> list[Column]:
+        cut = lambda j: (n * j / parts).cast("int")
+        return [F.xxhash64(F.lit(str(touched)), n, *(F.substr(F.col("seq"), cut(x) + 1 + s, cut(y) - cut(x)) for x, y, s in runs)) for touched, runs in _frames(parts, k, extra)]
+
+    own = known.select(F.col("seq").alias("b"), F.explode(F.array(*keys(F.length("seq"), 0))).alias("key"))
+    # the longer text of a pair looks for the shorter one
+    probes = known.select(F.col("seq").alias("a"), F.explode(F.array(*(key for d in range(k + 1) for key in keys(F.length("seq") - d, d)))).alias("key"))
+    pairs = probes.join(own, "key").where((F.length("a") > F.length("b")) | (F.col("a") < F.col("b")))
+    near = pairs.select("a", "b", F.levenshtein("a", "b", k).alias("dist")).where("dist >= 0")
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "dist").distinct()
+
+
 def nearest(queries: DataFrame, library: DataFrame, k: int) -> DataFrame:
     """``seq, hit, diffs, nhits``: for each distinct query text within k of a library text, the nearest one.
 

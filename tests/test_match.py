@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -38,6 +39,52 @@ def test_neighbors_are_complete(spark, k):
     assert set(map(tuple, N.neighbors(df, df, k, same=True).collect())) == want
 
 
+@pytest.mark.parametrize("k, parts", [(0, None), (1, None), (1, 2), (2, None), (2, 4)])
+def test_neighbors_in_families_are_complete(spark, k, parts):
+    r = random.Random(10 * k + (parts or 0))
+    loci = ["".join(r.choice("ACGT") for _ in range(n)) for n in (0, 1, 6, 7, 8)]
+    texts = {"", "A", "AC", "CA"}
+    for _ in range(90):
+        t = r.choice(loci) + r.choice(loci)
+        for _ in range(r.randint(0, 3)):
+            i = r.randrange(len(t) + 1)
+            t = r.choice([t[:i] + t[i + 1 :], t[:i] + r.choice("ACGT") + t[i:], t[:i] + r.choice("ACGT") + t[i + 1 :]])
+        texts.add(t)
+    df = spark.createDataFrame([(t,) for t in [*texts, None, "AC"]], "seq string")
+    want = {(a, b, d) for a in texts for b in texts if a < b and (d := distance(a, b)) <= k}
+    got = list(map(tuple, N.family_neighbors(df, k, parts).collect()))
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_clusters_of_a_frequent_locus(spark):
+    """12,000 barcodes that share their first locus, each with one read of its own calls: few are compared, where all pairs of them were before."""
+    r, began = random.Random(4), time.time()
+    codes = ["ACGTTGCATTGACCAGTACCATGGT" + "".join(r.choice("ACGT") for _ in range(25)) for _ in range(12_000)]
+    reads = [(f"r{i:05d}{x}", c) for i, c in enumerate(codes) for x in "ab"] + [("s1", codes[0][:-1] + ("A" if codes[0][-1] != "A" else "C")), ("s2", codes[1][:-1])]
+    calls = spark.createDataFrame([(f"r{i:05d}a", i, f"{i}A>G", 90) for i in range(12_000)], "read_id string, pos int, mut string, q int")
+    seeds = stage(C.seed_clusters(spark.createDataFrame(reads, "read_id string, barcode string"), calls, 0.2, 1, 32))
+    got = {x.read_id: x.cluster for x in C.merge_clusters(seeds, calls, 1, 0.2, 32).collect()}
+    assert len(got) == 24_002 and got["s1"] == "s1" and got["s2"] == "s2", "no cluster has twice as many reads"
+    more = seeds.unionByName(spark.createDataFrame([("t1", codes[0], "r00000b")], "read_id string, barcode string, cluster string"))
+    got = {x.read_id: x.cluster for x in C.merge_clusters(more, calls, 1, 0.2, 32).collect()}
+    assert got["s1"] == got["t1"] == "r00000b" and got["s2"] == "s2" and got["r00000a"] == "r00000a"
+    assert time.time() - began < 60
+
+
+def test_calls_decide_on_joins(spark):
+    """Clusters one base apart, by calls: none likely, one in common, likely ones of one side only, unlikely ones that are likely together."""
+    reads, calls = [], []
+    cases = {"AA": ([], []), "CC": ([("1A>G", 90)], [("1A>G", 90)]), "GG": ([("1A>G", 90)], []), "TT": ([], [("2A>G", 90)]), "AC": ([("3A>G", 20)], [("3A>G", 5)]), "AG": ([("4A>G", 20)], [("5A>G", 5)]), "AT": ([("6A>G", 20), ("7C>T", 90)], [("6A>G", 20)])}
+    for at, (ours, theirs) in cases.items():
+        for i in range(3):
+            last = i == 2
+            reads.append((f"{at}{i}", at * 10 + ("C" if last else "A"), f"{at}{2 if last else 0}"))
+            calls += [(f"{at}{i}", int(m[0]), m, q) for m, q in (theirs if last else ours if i == 0 else [])]
+    seeds = spark.createDataFrame(reads, "read_id string, barcode string, cluster string")
+    got = {x.read_id: x.cluster for x in C.merge_clusters(seeds, spark.createDataFrame(calls, "read_id string, pos int, mut string, q int"), 1, 0.2, 32).collect()}
+    assert {at for at in cases if got[f"{at}2"] == f"{at}0"} == {"AA", "CC", "AC", "AG", "AT"}
+
+
 def test_nearest(spark):
     q = spark.createDataFrame([("ACGT",), ("ACGA",), ("TTTT",), (None,)], "seq string")
     lib = spark.createDataFrame([("ACGT",), ("ACGG",)], "seq string")
