@@ -6,11 +6,11 @@ states, and clusters are connected components. No cluster is gathered in one tas
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clonewell.operators.components import components
 from clonewell.operators.neighbors import family_neighbors
-from clonewell.session import stage, unstage
+from clonewell.session import small, stage, unstage
 
 
 def likely_calls(reads: DataFrame, calls: DataFrame, group: str, min_quality: int) -> DataFrame:
@@ -81,60 +81,108 @@ def merge_clusters(seeds: DataFrame, calls: DataFrame, max_diff: int = 1, min_ja
     largest, then smallest id), unless that one joins another itself in this round, when it waits for
     the next. Rounds end when nothing joins, as they must, since each join leaves one cluster less. So the result depends neither on the order of rows
     nor on partitions.
+
+    Reads are read at the beginning and at the end. Between, there are counts of each cluster's calls and barcodes, which add up when
+    clusters join; after the first round of a distance only clusters that changed are compared again, with each other and with the rest.
     """
-    one = stage(calls.where("mut IS NOT NULL").groupBy("read_id", "mut").agg(F.max("q").alias("q")), "calls")
-    codes = seeds.select(F.col("barcode").alias("seq")).distinct()
-    pairs = family_neighbors(codes, max_diff)
-    edges = stage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist")), "distances")
     now = stage(seeds.select("read_id", "barcode", "cluster"), "clusters")
+    pairs = family_neighbors(now.select(F.col("barcode").alias("seq")).distinct(), max_diff)
+    edges = stage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist")), "distances")
+    one = calls.where("mut IS NOT NULL").groupBy("read_id", "mut").agg(F.max("q").alias("q"))
+    sums = stage(now.select("read_id", "cluster").join(one, "read_id").groupBy("cluster", "mut").agg(F.count_if(F.col("q") > 0).alias("m"), F.coalesce(F.sum("q"), F.lit(0)).alias("q")), "sums")
+    members = stage(_members(now.groupBy("cluster", "barcode").agg(F.count(F.lit(1)).alias("n")), sums, min_quality), "members")
+    moved = None
     for d in range(1, max_diff + 1):
+        alike, changed = None, None
         while True:
-            hooks = _hooks(now, one, edges, d, min_jaccard, min_quality)
+            near = _near(members, sums, edges, d, min_jaccard, min_quality, changed)
+            fit = _within(near, members, d)
+            if alike is not None:
+                fit = fit.unionByName(_without(_without(alike, changed, "c1"), changed, "c2"))
+            fit = stage(fit, "alike")
+            best = fit.groupBy("c1").agg(F.min(F.struct((-F.col("n2")).alias("size"), "c2")).alias("b")).select(F.col("c1").alias("cluster"), F.col("b.c2").alias("into"))
+            hooks = stage(best.join(best.select(F.col("cluster").alias("into")), "into", "left_anti").select("cluster", "into"), "hooks")
+            for old in (near, alike):
+                unstage(old)
+            alike = fit
             if not hooks.limit(1).count():
                 break
-            new = now.join(hooks, "cluster", "left").select("read_id", "barcode", F.coalesce("into", "cluster").alias("cluster"))
-            new = stage(new, "clusters")
-            unstage(now)
-            unstage(hooks)
-            now = new
+            changed = small(stage(hooks.unionByName(hooks.select(F.col("into").alias("cluster"), "into").distinct()), "changed"))
+            told = stage(sums.join(changed, "cluster").groupBy("into", "mut").agg(F.sum("m").alias("m"), F.sum("q").alias("q")).withColumnRenamed("into", "cluster"), "sums")
+            codes = members.join(changed, "cluster").groupBy("into", "barcode").agg(F.sum("n").alias("n")).withColumnRenamed("into", "cluster")
+            news = [stage(_without(x, changed, "cluster").unionByName(y), name) for x, y, name in ((sums, told, "sums"), (members, _members(codes, told, min_quality), "members"))]
+            onward = hooks if moved is None else stage(moved.join(hooks.select(F.col("cluster").alias("into"), F.col("into").alias("next")), "into", "left").select("cluster", F.coalesce("next", "into").alias("into")).unionByName(hooks), "moved")
+            for old in (sums, members, told, moved):
+                unstage(old)
+            sums, members, moved = *news, onward
+        unstage(alike)
         unstage(hooks)
+    for old in (edges, sums, members):
+        unstage(old)
+    if moved is not None:
+        now = now.join(small(moved), "cluster", "left").select("read_id", "barcode", F.coalesce("into", "cluster").alias("cluster"))
     first = now.groupBy("cluster").agg(F.min("read_id").alias("least"))
     return now.join(first, "cluster").select("read_id", "barcode", F.col("least").alias("cluster"))
 
 
-def _hooks(now: DataFrame, calls: DataFrame, edges: DataFrame, d: int, min_jaccard: float, min_quality: int) -> DataFrame:
-    """``cluster, into``: the joins of one round, staged."""
-    sums = stage(now.select("read_id", "cluster").join(calls, "read_id").groupBy("cluster", "mut").agg(F.count_if(F.col("q") > 0).alias("m"), F.sum("q").alias("q")), "sums")
-    likely = (F.col("q") > 0) & ((F.col("m") > 1) | (F.col("q") > min_quality))
-    known = sums.groupBy("cluster").agg(F.bool_or(likely & F.lit(min_jaccard >= 0)).alias("known"))
-    codes = now.groupBy("cluster", "barcode").agg(F.count(F.lit(1)).alias("n"))
-    sizes = codes.groupBy("cluster").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("codes"), F.min("barcode").alias("low"), F.max("barcode").alias("high"))
-    members = stage(codes.select("cluster", "barcode").join(sizes.join(known, "cluster", "left"), "cluster").withColumn("known", F.coalesce("known", F.lit(False))), "members")
-    one = members.select(F.col("cluster").alias("c1"), F.col("barcode").alias("a"), F.col("n").alias("n1"), F.col("codes").alias("k1"), F.col("known").alias("known1"))
-    two = members.select(F.col("cluster").alias("c2"), F.col("barcode").alias("b"), F.col("n").alias("n2"), F.col("codes").alias("k2"), F.col("known").alias("known2"), "low", "high")
-    # barcodes that lie near enough to all of a cluster; two of its barcodes tell most that don't. Only clusters of several reads can be joined
-    beside = edges.where(F.col("dist") <= d).join(two.where(F.log2("n2") >= d), "b").groupBy("c2", "n2", "k2", "known2", "low", "high", "a").agg(F.min("dist").alias("dist"))
-    beside = stage(beside.where((F.col("k2") == 1) | (F.levenshtein("a", "low", 2 * d) >= 0) & (F.levenshtein("a", "high", 2 * d) >= 0)).drop("low", "high"), "beside")
-    within = lambda x, *by: x.groupBy(*by).agg(F.min(F.levenshtein("a", "b", 2 * d)).alias("worst")).where("worst >= 0").select(*by)
-    close = within(beside.where("k2 > 1").select("c2", "a").join(two.select("c2", "b"), "c2"), "c2", "a")
-    close = stage(beside.where("k2 = 1").unionByName(beside.join(close, ["c2", "a"])), "close")
-    # of two clusters without a call in common, both must be without likely calls, and their calls need no further comparison
-    m1, m2 = (sums.select(F.col("cluster").alias(c), "mut") for c in ("c1", "c2"))
-    bare = close.where("NOT known2").join(one.where("NOT known1"), "a").withColumn("common", F.lit(False))
-    common = close.join(m2, "c2").join(one.join(m1, "c1"), ["a", "mut"]).drop("mut").withColumn("common", F.lit(True))
-    near = bare.unionByName(common).where((F.col("c1") != F.col("c2")) & (F.log2(F.col("n2") / F.col("n1")) >= d))
-    pairs = near.groupBy("c1", "c2", "n1", "n2", "k1").agg(F.min("dist").alias("least"), F.bool_or("common").alias("common"))
-    pairs = stage(pairs.where(F.col("least") == d), "pairs")
-    held = within(pairs.where("k1 > 1").select("c1", "c2").join(one.select("c1", "a"), "c1").join(two.select("c2", "b"), "c2"), "c1", "c2")
-    fit = stage(pairs.where("k1 = 1").unionByName(pairs.join(held, ["c1", "c2"])), "fit")
-    both = fit.where("common").select("c1", "c2", F.explode(F.array("c1", "c2")).alias("cluster")).join(sums, "cluster")
-    per_mut = both.groupBy("c1", "c2", "mut").agg(
-        F.sum("m").alias("m"), F.sum("q").alias("q"), F.bool_or((F.col("cluster") == F.col("c1")) & (F.col("q") > 0)).alias("in1"), F.bool_or((F.col("cluster") == F.col("c2")) & (F.col("q") > 0)).alias("in2")
-    )
-    counts = per_mut.where((F.col("m") > 1) | (F.col("q") > min_quality)).groupBy("c1", "c2").agg(F.count_if(F.col("in1") & F.col("in2")).alias("both"), F.count_if(F.col("in1") | F.col("in2")).alias("any"))
-    alike = fit.join(counts, ["c1", "c2"], "left").where(F.col("any").isNull() | (F.col("any") == 0) | (F.col("both") / F.nullif(F.col("any"), F.lit(0)) > min_jaccard))
-    best = stage(alike.groupBy("c1").agg(F.min(F.struct("least", (-F.col("n2")).alias("size"), "c2")).alias("b")).select(F.col("c1").alias("cluster"), F.col("b.c2").alias("into")), "best")
-    hooks = stage(best.join(best.select(F.col("cluster").alias("into")), "into", "left_anti").select("cluster", "into"), "hooks")
-    for old in (sums, members, beside, close, pairs, fit, best):
-        unstage(old)
-    return hooks
+def _without(rows: DataFrame, changed: DataFrame, column: str) -> DataFrame:
+    return rows.join(changed.select(F.col("cluster").alias(column)), column, "left_anti")
+
+
+def _likely(m: str, q: str, min_quality: int) -> Column:
+    """Whether a call of ``m`` reads, with qualities of ``q`` in all, is a likely one."""
+    return (F.col(q) > 0) & ((F.col(m) > 1) | (F.col(q) > min_quality))
+
+
+def _members(codes: DataFrame, sums: DataFrame, min_quality: int) -> DataFrame:
+    """``cluster, barcode, n, size, k, likely``: of each cluster and barcode the reads; of the cluster its reads, barcodes and likely calls."""
+    sizes = codes.groupBy("cluster").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("k"))
+    likely = sums.where(_likely("m", "q", min_quality)).groupBy("cluster").agg(F.count(F.lit(1)).alias("likely"))
+    return codes.join(sizes.join(likely, "cluster", "left"), "cluster").select("cluster", "barcode", "n", "size", "k", F.coalesce("likely", F.lit(0).cast("bigint")).alias("likely"))
+
+
+def _near(members: DataFrame, sums: DataFrame, edges: DataFrame, d: int, min_jaccard: float, min_quality: int, changed: DataFrame | None) -> DataFrame:
+    """``c1, c2, n2, k1, k2``, staged: clusters d apart of which the first, by sizes and calls, may join the second; if some ``changed``, only pairs with one of those."""
+    if changed is None:
+        return stage(_close(members, members, sums, sums, edges, d, min_jaccard, min_quality), "near")
+    own = lambda x: x.join(changed.select("cluster"), "cluster", "left_semi")
+    these, theirs, rest = stage(own(members), "changed_members"), stage(own(sums), "changed_sums"), _without(members, changed, "cluster")
+    near = _close(these, members, theirs, sums, edges, d, min_jaccard, min_quality).unionByName(_close(rest, these, sums, theirs, edges, d, min_jaccard, min_quality))
+    near = stage(near, "near")
+    unstage(these)
+    unstage(theirs)
+    return near
+
+
+def _close(ones: DataFrame, twos: DataFrame, sums1: DataFrame, sums2: DataFrame, edges: DataFrame, d: int, min_jaccard: float, min_quality: int) -> DataFrame:
+    """Pairs for ``_near`` of clusters of ``ones`` and ``twos``.
+
+    The smaller cluster looks for the larger one by a barcode and a call, so clusters of a frequent barcode aren't paired unless
+    they have a call in common, or neither has a likely one. Likely calls of both together are those of each, and among the common ones those that are likely in the sum.
+    """
+    one = ones.select(F.col("cluster").alias("c1"), F.col("barcode").alias("a"), F.col("size").alias("n1"), F.col("k").alias("k1"), F.col("likely").alias("l1"))
+    two = twos.where(F.log2("size") >= d).select(F.col("cluster").alias("c2"), F.col("barcode").alias("b"), F.col("size").alias("n2"), F.col("k").alias("k2"), F.col("likely").alias("l2"))
+    tops = two.groupBy("b").agg(F.max("n2").alias("top"))
+    reach = one.join(edges.where(F.col("dist") <= d).join(tops, "b"), "a").where(F.log2(F.col("top") / F.col("n1")) >= d).groupBy("c1", "n1", "k1", "l1", "b").agg(F.min("dist").alias("dist"))
+    fits = (F.col("c1") != F.col("c2")) & (F.log2(F.col("n2") / F.col("n1")) >= d)
+    by = ["c1", "c2", "n2", "k1", "k2", "l1", "l2"]
+    none = F.lit(None).cast("bigint")
+    bare = reach.join(two, "b").where(fits) if min_jaccard < 0 else reach.where("l1 = 0").join(two.where("l2 = 0"), "b").where(fits)
+    bare = bare.groupBy(*by).agg(F.min("dist").alias("dist"), none.alias("any"), none.alias("both"))
+    m1, m2 = (s.select(F.col("cluster").alias(f"c{i}"), "mut", F.col("m").alias(f"m{i}"), F.col("q").alias(f"q{i}")) for i, s in ((1, sums1), (2, sums2)))
+    wanted = two.join(reach.select("b").distinct(), "b", "left_semi").join(m2, "c2")
+    shared = reach.join(m1, "c1").join(wanted, ["b", "mut"]).where(fits).groupBy(*by, "mut", "m1", "q1", "m2", "q2").agg(F.min("dist").alias("dist"))
+    together = ((F.col("m1") + F.col("m2") > 1) | (F.col("q1") + F.col("q2") > min_quality)) & ((F.col("q1") > 0) | (F.col("q2") > 0))
+    single = F.count_if(_likely("m1", "q1", min_quality)) + F.count_if(_likely("m2", "q2", min_quality))
+    common = shared.groupBy(*by).agg(F.min("dist").alias("dist"), (F.count_if(together) - single).alias("any"), F.count_if(together & (F.col("q1") > 0) & (F.col("q2") > 0)).alias("both"))
+    pairs = bare.unionByName(common).groupBy(*by).agg(F.min("dist").alias("dist"), F.coalesce(F.max("any"), F.lit(0)).alias("any"), F.coalesce(F.max("both"), F.lit(0)).alias("both"))
+    union = F.col("l1") + F.col("l2") + F.col("any")
+    return pairs.where((F.col("dist") == d) & ((union == 0) | (F.col("both") / F.nullif(union, F.lit(0)) > min_jaccard))).select("c1", "c2", "n2", "k1", "k2")
+
+
+def _within(near: DataFrame, members: DataFrame, d: int) -> DataFrame:
+    """``c1, c2, n2``: those of the pairs whose barcodes all lie within 2d of each other; of two clusters of one barcode each it is known."""
+    several = near.where("k1 > 1 OR k2 > 1").select("c1", "c2", "n2")
+    barcodes = lambda c, x: members.select(F.col("cluster").alias(c), F.col("barcode").alias(x))
+    apart = several.join(barcodes("c1", "a"), "c1").join(barcodes("c2", "b"), "c2").groupBy("c1", "c2", "n2").agg(F.min(F.levenshtein("a", "b", 2 * d)).alias("worst"))
+    return near.where("k1 = 1 AND k2 = 1").select("c1", "c2", "n2").unionByName(apart.where("worst >= 0").select("c1", "c2", "n2"))

@@ -71,6 +71,28 @@ def test_clusters_of_a_frequent_locus(spark):
     assert time.time() - began < 60
 
 
+def test_clusters_of_a_frequent_barcode(spark, monkeypatch):
+    """400 clusters of one barcode and 120 barcodes beside it: they are paired by common calls only, and no table holds each with each."""
+    hot, rows = "ACGTTGCATTGACCAGTACCATGGTTCAGCATGCCATTGACGATCCGTAAC", []
+    calls = [(f"h{i:03d}{x}", i, f"{i}A>G", 90) for i in range(400) for x in "ab"]
+    reads = [(f"h{i:03d}{x}", hot, f"h{i:03d}a") for i in range(400) for x in "ab"]
+    codes = [hot[:p] + c + hot[p + 1 :] for p in range(40) for c in "ACGT" if c != hot[p]]
+    reads += [(f"v{j:03d}", c, f"v{j:03d}") for j, c in enumerate(codes)]
+    calls += [(f"v{j:03d}", 1000 + j, f"{1000 + j}A>G" if j > 9 else f"{j}A>G", 90) for j in range(len(codes))]
+    plain = C.stage
+
+    def counted(df, name="stage"):
+        out = plain(df, name)
+        rows.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(C, "stage", counted)
+    seeds, called = spark.createDataFrame(reads, "read_id string, barcode string, cluster string"), spark.createDataFrame(calls, "read_id string, pos int, mut string, q int")
+    got = {x.read_id: x.cluster for x in C.merge_clusters(seeds, called, 1, 0.2, 32).collect()}
+    assert got == {r: f"h{int(r[1:]):03d}a" if r[0] == "v" and int(r[1:]) < 10 else c for r, _, c in reads}
+    assert max(rows)[0] <= len(reads), "120 x 400 pairs before"
+
+
 def test_calls_decide_on_joins(spark):
     """Clusters one base apart, by calls: none likely, one in common, likely ones of one side only, unlikely ones that are likely together."""
     reads, calls = [], []
