@@ -23,7 +23,7 @@ WRITTEN = ("utf-8", "cp1252", "mac_roman", "cp1251", "koi8-r", "cp866", "cp437",
 READ = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "koi8-r", "cp866")
 # Those whose later bytes may be ASCII, so that a line can't be taken apart at its ASCII characters.
 MIXED = ("shift_jis",)
-# Cost of naming a stretch of a line; characters fewer that tell a garbled line of the sample; what stands around quotations, and around strings and asides too; words for that.
+# Cost of naming a stretch of a line; characters fewer that tell a garbled line when dictionaries are made; what stands around quotations, and around strings and asides too; words for that.
 STRETCH_BYTES = 2.0
 SURE_CHARS = 4
 QUOTES = ("``", "“”", "«»")
@@ -37,12 +37,15 @@ LARGE = 0x2E80
 # Levels of compression: the first for sentences; of a line that may be garbled, the shorter result counts, since no single way of parsing is best on all lines.
 LEVELS = (12, 19)
 NEAR_BYTES = 8
+# Characters of the lines, about, that are judged together when dictionaries are made; bytes that a sentence of a dictionary takes at least.
+GROUP_CHARS = 1_000_000
+SENTENCE_BYTES = 4
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_bytes``: size, about, of the distinct lines from which the dictionaries are made (drawn by a hash of the line, those
-    of ``sample_line`` characters at most); ``dictionary_bytes``: size of one language's; ``languages``: how many have one;
+    """``sample_bytes``, ``sample_line``: size, about, and longest line of what ``_sample`` draws, which the dictionaries don't depend on; sentences
+    longer than ``sample_line`` characters have no place in a dictionary; ``dictionary_bytes``: size of one language's; ``languages``: how many have one;
     ``chain_bytes``: cost of naming a step of a chain and where it is; ``margin_bytes``: by how much a restored line must be
     shorter besides; ``lost_bytes``: both of these for a line that lost characters, which tells itself where."""
 
@@ -369,49 +372,49 @@ def usage_of(lines: Iterable[str], settings: Settings = Settings()) -> Counter:
 _CONTEXT = "left string, run string, right string"
 
 
-def train(sample: DataFrame, usage: DataFrame, by_gap: dict[tuple[str, int, str], str], settings: Settings) -> Model:
-    """The model from ``lang, line`` of a bounded sample, most of which is correct, and the ``usage`` of all lines.
+def train(lines: DataFrame, usage: DataFrame, by_gap: dict[tuple[str, int, str], str], settings: Settings) -> Model:
+    """The model from ``lang, line`` of all distinct lines, most of which are correct, and their ``usage``.
 
     A line is taken for garbled and left out if some chain turns those of its runs that it can be undone on into ones
     that stand in more lines, or if undoing utf-8 takes several characters away. So garbled text doesn't enter the dictionaries, but text that quotes
-    garbled sequences does, since its restored form occurs nowhere. Lines are judged in tasks; the counts of the contexts that they ask for, which
-    the sample bounds, are broadcast with a size check, and what comes to the driver are the dictionaries.
+    garbled sequences does, since its restored form occurs nowhere. Lines are judged in tasks, in groups of about ``GROUP_CHARS``, beside
+    the counts of the contexts that a group asks for; sentences are counted over all lines, and what comes to the driver are the dictionaries.
     """
-    spark = sample.sparkSession
     names = [x.split()[0] for x in _CONTEXT.split(", ")]
+    groups = -(-(lines.agg(F.sum(F.length("line"))).first()[0] or 0) // GROUP_CHARS) or 1
+    lines = lines.select("lang", "line", F.pmod(F.xxhash64("line", F.lit(7)), F.lit(groups)).alias("part"))
 
     def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         runs: dict = {}
         for batch in batches:
-            yield pd.DataFrame(sorted({c for line in batch["line"] for contexts, _ in _forms(line, runs) for c in contexts}), columns=names)
-
-    known = usage.where("what = 'run'").join(sample.select("line").mapInPandas(asked, _CONTEXT).distinct(), names, "left_semi").select(*names, "n").collect()
-    counts = {(r.left, r.run, r.right): log1p(r.n) for r in known}
-    if 200 * len(counts) > BROADCAST_BYTES:
-        raise ValueError(f"{len(counts)} contexts of the sample are too many to broadcast; lower sample_bytes")
-    sent = spark.sparkContext.broadcast(counts)
-
-    def correct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        usual, runs = sent.value, {}
-        for batch in batches:
-            found = []
-            for lang, line in zip(batch["lang"], batch["line"]):
-                (own, _), *others = _forms(line, runs)
-                at = [usual.get(c, 0.0) for c in own]
-                if LOST in line or any(
-                    shorter >= SURE_CHARS or sum(usual.get(c, 0.0) for c in contexts) / max(1, len(contexts)) > sum(at[i] for i in which) / len(which) + 0.2 for contexts, (which, shorter) in others
-                ):
-                    continue
-                found += [(lang, re.sub("[0-9]", "0", x), len(_plain(x)) + 1) for x in SENTENCE.split(line) if not x.isascii()]
-            yield pd.DataFrame(found, columns=["lang", "sentence", "size"])
-
-    sentences = sample.select("lang", "line").mapInPandas(correct, "lang string, sentence string, size bigint").groupBy("lang", "sentence").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
-    # of the sample's sentences: the most frequent ones of each language, as far as there is room
-    upto = F.sum("size").over(W.partitionBy("lang").orderBy(F.desc("n"), "sentence").rowsBetween(W.unboundedPreceding, 0))
-    kept = sentences.withColumn("weight", F.sum("n").over(W.partitionBy("lang"))).withColumn("upto", upto).where(F.col("upto") <= settings.dictionary_bytes)
-    texts: dict[str, list[str]] = {}
-    for r in kept.withColumn("rank", F.dense_rank().over(W.orderBy(F.desc("weight"), "lang"))).where(F.col("rank") <= settings.languages).orderBy("rank", "n", F.desc("sentence")).collect():
-        texts.setdefault(r.lang, []).append(r.sentence)  # the most frequent ones last, where they are cheapest to point at
+            yield pd.DataFrame(sorted({(g, *c) for g, line in zip(batch["part"].tolist(), batch["line"]) for contexts, _ in _forms(line, runs) for c in contexts}), columns=["part", *names])
+
+    known = lines.select("part", "line").mapInPandas(asked, "part bigint, " + _CONTEXT).distinct().join(usage.where("what = 'run'").select(*names, "n"), names)
+
+    def correct(group: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        usual, runs, found = dict(zip(zip(*(counts[x] for x in names)), map(log1p, counts["n"]))), {}, []
+        for lang, line in zip(group["lang"], group["line"]):
+            (own, _), *others = _forms(line, runs)
+            at = [usual.get(c, 0.0) for c in own]
+            if LOST in line or any(
+                shorter >= SURE_CHARS or sum(usual.get(c, 0.0) for c in contexts) / max(1, len(contexts)) > sum(at[i] for i in which) / len(which) + 0.2 for contexts, (which, shorter) in others
+            ):
+                continue
+            found += [(lang, re.sub("[0-9]", "0", x), len(_plain(x)) + 1) for x in SENTENCE.split(line) if not x.isascii() and len(x) <= settings.sample_line]
+        return pd.DataFrame(found, columns=["lang", "sentence", "size"])
+
+    each = lines.groupBy("part").cogroup(known.groupBy("part")).applyInPandas(correct, "lang string, sentence string, size bigint")
+    sentences = stage(each.groupBy("lang", "sentence").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")), "sentences")
+    # the most frequent ones of each language, as far as there is room, so no more than have room if all are of the least size
+    order = W.partitionBy("lang").orderBy(F.desc("n"), "sentence")
+    first = sentences.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.dictionary_bytes // SENTENCE_BYTES)
+    kept = stage(first.withColumn("upto", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))).where(F.col("upto") <= settings.dictionary_bytes).select("lang", "sentence", "n"), "kept")
+    weights = sentences.groupBy("lang").agg(F.sum("n").alias("weight")).join(kept.select("lang").distinct(), "lang", "left_semi")
+    texts: dict[str, list[str]] = {r.lang: [] for r in weights.orderBy(F.desc("weight"), "lang").limit(settings.languages).collect()}
+    for r in kept.where(F.col("lang").isin(list(texts))).orderBy("n", F.desc("sentence")).collect():
+        texts[r.lang].append(r.sentence)  # the most frequent ones last, where they are cheapest to point at
+    unstage(sentences)
+    unstage(kept)
     return Model({lang: "\n".join(x) for lang, x in texts.items()}, by_gap, settings)
 
 
@@ -449,8 +452,7 @@ def find_garbled(documents: DataFrame, doc_id: Column, text: Column, lang: Colum
     ``lossy`` tells that some characters could not be.
 
     Documents are read twice: for their distinct lines beyond ASCII, which are staged, and for the one map over texts, which aren't shuffled.
-    Runs in context and what stands in a gap are counted over all distinct lines. The dictionaries' text is a sample of them bounded by
-    ``Settings``; which of its lines are garbled is told by the counts over all. The dictionaries and the gaps that occur are broadcast with a size check.
+    Runs in context, what stands in a gap and the sentences of the dictionaries are counted over all distinct lines. The dictionaries and the gaps that occur are broadcast with a size check.
 
     Null, empty and plain ASCII texts are never affected; a line that quotes garbled sequences stays,
     as the quotation is shorter as it is; repeated documents each give a row; an empty table gives
@@ -461,7 +463,7 @@ def find_garbled(documents: DataFrame, doc_id: Column, text: Column, lang: Colum
     lines = stage(_lines(docs), "lines")
     usage = stage(_usage(lines, settings), "usage")
     by_gap = {(r.left, r.k, r.right): r.run for r in _gaps(usage).collect()}
-    model = train(_sample(lines, usage, settings), usage, by_gap, settings)
+    model = train(lines, usage, by_gap, settings)
     unstage(lines)
     unstage(usage)
     if model.size() > BROADCAST_BYTES:
@@ -520,6 +522,6 @@ def hash_bound(total: int, wanted: int) -> int:
 
 
 def _sample(lines: DataFrame, usage: DataFrame, settings: Settings) -> DataFrame:
-    """``lang, line``: distinct lines for the dictionaries' text, about ``sample_bytes`` of characters."""
+    """``lang, line``: about ``sample_bytes`` of characters of the distinct lines, for a look at them; ``find_garbled`` takes all."""
     total = usage.where("what = 'size'").agg(F.sum("n")).first()[0] or 0
     return lines.where((F.shiftrightunsigned(F.xxhash64("line", F.lit(5)), 2) < hash_bound(total, settings.sample_bytes)) & (F.length("line") <= settings.sample_line)).select("lang", "line")

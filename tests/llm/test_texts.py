@@ -394,6 +394,20 @@ def test_the_sample_is_bounded_by_its_bytes(spark):
     assert G._sample(lines, G._usage(lines, G.Settings()), G.Settings()).count() == 20_000
 
 
+def test_dictionaries_are_made_of_all_lines(spark, monkeypatch):
+    """The most frequent sentences of all lines, long ones too, whatever the size of a sample and of the groups that are judged together."""
+    rows = [(k, "fr", CLEAN["fr"].format(n=k) + f" Été numéro {'abcdefghij'[k % 10]}.") for k in range(300)]
+    rows += [(1000 + k, "el", f"Το κατώφλι {'αβγδε'[k]} είναι μικρό. " * 200 + "x") for k in range(5)]
+    made = []
+    monkeypatch.setattr(G, "train", lambda *x, plain=G.train: made.append(plain(*x)) or made[-1])
+    for chars in (1_000_000, 3_000):
+        monkeypatch.setattr(G, "GROUP_CHARS", chars)
+        G.find_garbled(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"), F.col("doc_id"), F.col("text"), F.col("lang"), G.Settings(sample_bytes=500))
+    made = [m.dictionaries for m in made]
+    assert made[0] == made[1] and list(made[0]) == ["el", "fr"]
+    assert all(f"Το κατώφλι {x} είναι μικρό." in made[0]["el"] for x in "αβγδε") and all(f"Été numéro {x}." in made[0]["fr"] for x in "abcdefghij")
+
+
 def test_novel_correct_text_stays(spark, corpus):
     """Correct text of which no dictionary knows a word: no reading is shorter by the width of its characters alone."""
     texts = ["Привет, мир: новые слова, которых нигде нет!", "Ângela, Âncora, Ã, Õ: letras maiúsculas e ÇÃO", "Łódź, Gdańsk, Żywiec — źdźbło", "ΑΒΓ αβγ: άγνωστες λέξεις", "“kitron” ≈ ‘bodor’ – §5 €9", "Ørsted, Ærø, Ålborg", "東京と大阪の間で", "ÀÈÌÒÙ àèìòù"]
