@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from codecs import charmap_build, charmap_encode
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from math import log1p
 
 import pandas as pd
@@ -37,6 +39,10 @@ LARGE = 0x2E80
 # Levels of compression: the first for sentences; of a line that may be garbled, the shorter result counts, since no single way of parsing is best on all lines.
 LEVELS = (12, 19)
 NEAR_BYTES = 8
+# How many runs, sentences or lines are remembered; characters of a line that is, and of a run.
+REMEMBERED = 20_000
+REMEMBERED_CHARS = 1_000
+REMEMBERED_RUN = 100
 # Characters of the lines, about, that are judged together when dictionaries are made; bytes that a sentence of a dictionary takes at least.
 GROUP_CHARS = 1_000_000
 SENTENCE_BYTES = 4
@@ -70,6 +76,8 @@ def _byte_table(encoding: str) -> dict[str, int]:
 
 
 _TABLES = {e: _byte_table(e) for e in READ}
+# The same tables for ``charmap_encode``; U+FFFE, which stands for no byte, where a byte has no character.
+_MAPS = {e: charmap_build("".join({b: c for c, b in t.items()}.get(k, "\ufffe") for k in range(256))) for e, t in _TABLES.items()}
 _OPEN = {e: [b for b in range(128, 256) if _TABLES[e].get(chr(b)) == b and e != "latin-1"] for e in READ}
 
 Step = tuple[str, str]
@@ -89,14 +97,10 @@ CHAINS = _chains()
 def _undo(text: str, step: Step) -> str | None:
     """``text`` as it was before it was written as ``step[0]`` and read as ``step[1]``; None if that can't be."""
     written, read = step
-    table = _TABLES[read]
-    try:
-        raw = bytes([table[c] if c != LOST else -1 for c in text])
-    except KeyError:
-        return None
-    except ValueError:  # a character lost in a byte the reader left open: only utf-8 tells which bytes fit
+    if LOST in text:  # a character lost in a byte the reader left open: only utf-8 tells which bytes fit
         if written != "utf-8":
             return None
+        table = _TABLES[read]
         for b in _OPEN[read][::-1]:
             try:
                 return bytes([table[c] if c != LOST else b for c in text]).decode("utf-8")
@@ -106,10 +110,9 @@ def _undo(text: str, step: Step) -> str | None:
                 return None
         return None
     try:
-        out = raw.decode(written)
-    except UnicodeDecodeError:
+        return charmap_encode(text, "strict", _MAPS[read])[0].decode(written)
+    except UnicodeError:
         return None
-    return out
 
 
 def _restore(text: str, chain: tuple[Step, ...]) -> str | None:
@@ -138,20 +141,34 @@ def _plain(text: str) -> bytes:
     return text.translate(_CODES).encode("latin-1")
 
 
+_plain_remembered = lru_cache(REMEMBERED)(_plain)
+
+
+def _plain_run(run: str) -> bytes:
+    return _plain_remembered(run) if len(run) <= REMEMBERED_RUN else _plain(run)
+
+
+@lru_cache(4 * REMEMBERED)
+def _side(text: str, before: bool) -> str:
+    """Of the two characters before or after a run, the ASCII ones next to it, digits as 0."""
+    text = text if text.isascii() else text[1:] if before else text[:1]
+    return re.sub(r"\d", "0", text) if text.isascii() else ""
+
+
 def _beside(line: str, start: int, end: int) -> tuple[str, str]:
     """Up to two ASCII characters on either side, digits as 0."""
-    left, right = line[max(0, start - 2) : start], line[end : end + 2]
-    left = left if left.isascii() else left[1:]
-    right = right if right.isascii() else right[:1]
-    return tuple(re.sub(r"\d", "0", t) if t.isascii() else "" for t in (left, right))
+    return _side(line[max(0, start - 2) : start], True), _side(line[end : end + 2], False)
 
 
-def _contexts(line: str) -> list[tuple[str, str, str]]:
+Context = tuple[str, str, str]
+
+
+def _contexts(line: str) -> list[Context]:
     """Each run of non-ASCII characters with the ASCII characters on either side, digits as 0."""
     return [(b[0], m.group(), b[1]) for m in RUN.finditer(line) if (b := _beside(line, *m.span()))]
 
 
-def _key(context: tuple[str, str, str]) -> tuple[str, str, str]:
+def _key(context: Context) -> Context:
     """What is counted of a context: of longer runs, only the run."""
     return context if len(context[1]) <= 3 else ("", context[1], "")
 
@@ -194,14 +211,22 @@ class Model:
         return out
 
 
+_LAST_STEPS = {step: [(k, chain[:-1]) for k, chain in enumerate(CHAINS) if chain[-1] == step and chain[0][0] not in MIXED] for step in dict.fromkeys(c[-1] for c in CHAINS)}
+_WHOLE = [(k, chain) for k, chain in enumerate(CHAINS) if chain[0][0] in MIXED]
+
+
 def _undone(run: str) -> dict[int, str]:
-    """The run under each chain that can be undone on it, but for the chains that need a whole line."""
-    return {k: r for k, chain in enumerate(CHAINS) if chain[0][0] not in MIXED and (r := _restore(run, chain)) is not None}
+    """The run under each chain that can be undone on it, but for the chains that need a whole line. Chains share their last step."""
+    return {k: r for step, chains in _LAST_STEPS.items() if chains and (last := _undo(run, step)) is not None for k, rest in chains if (r := _restore(last, rest)) is not None}
 
 
 def _whole_lines(line: str) -> list[tuple[int, str]]:
-    """(chain, restored line) of the chains that need a whole line."""
-    return [(k, out) for k, chain in enumerate(CHAINS) if chain[0][0] in MIXED and (out := _restore(line, chain)) is not None and not out.isascii()]
+    """(chain, restored line) of the chains that need a whole line; of those with the same result, the first."""
+    out: dict[str, int] = {}
+    for k, chain in _WHOLE:
+        if (whole := _restore(line, chain)) is not None and not whole.isascii():
+            out.setdefault(whole, k)
+    return [(k, whole) for whole, k in out.items()]
 
 
 def _pairs(text: str) -> set[str]:
@@ -210,13 +235,18 @@ def _pairs(text: str) -> set[str]:
 
 
 class Judge:
-    """Describes lines under every chain. What a sentence costs is remembered, for a bounded number of them."""
+    """Describes lines under every chain. What a run, a sentence or a line comes to is remembered, for a bounded number of them."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
         self._coders = model.coders(LEVELS[0])
-        self._pairs = [_pairs(d) for d in model.dictionaries.values()]
+        self._holding: dict[str, int] = {}  # neighbouring characters -> dictionaries that hold them, as bits
+        for i, d in enumerate(model.dictionaries.values()):
+            for pair in _pairs(d):
+                self._holding[pair] = self._holding.get(pair, 0) | 1 << i
         self._thorough = model.coders(LEVELS[1])
+        self._known: dict[tuple[str, str, str], list[tuple[str, int]]] = {}
+        self._lines: dict[str, tuple[str, str, float] | None] = {}
         self._runs: dict[str, dict[int, str]] = {}
         self._costs: dict[str, int] = {}
         self._gains: dict[str, dict[int, int]] = {}
@@ -233,11 +263,32 @@ class Judge:
     def undone(self, run: str) -> dict[int, str]:
         found = self._runs.get(run)
         if found is None:
-            if len(self._runs) > 20_000:
+            if len(self._runs) > REMEMBERED:
                 self._runs.clear()
             found = self._runs[run] = _undone(run)
         return found
 
+    def repair(self, line: str) -> tuple[str, str, float] | None:
+        """``repair_line``; what short lines come to is remembered, since many are repeated."""
+        if len(line) > REMEMBERED_CHARS:
+            return repair_line(line, self)
+        if line not in self._lines:
+            if len(self._lines) > REMEMBERED:
+                self._lines.clear()
+            self._lines[line] = repair_line(line, self)
+        return self._lines[line]
+
+    def known(self, left: str, run: str, right: str) -> list[tuple[str, int]]:
+        """Neighbouring characters of a run between its neighbours that some dictionary holds, and which ones do, as bits."""
+        found = self._known.get((left, run, right))
+        if found is None:
+            if len(self._known) > REMEMBERED:
+                self._known.clear()
+            found = [(p, self._holding[p]) for p in _pairs(left + run + right) if p in self._holding]
+            if len(run) <= REMEMBERED_RUN:
+                self._known[left, run, right] = found
+        return found
+
     def least(self, sentence: str) -> int:
         """Bytes that the sentence takes beyond the least."""
         now = self._costs.get(sentence)
@@ -255,23 +306,35 @@ class Judge:
         """
         found = self._gains.get(sentence)
         if found is None:
-            if len(self._gains) > 20_000:
+            if len(self._gains) > REMEMBERED:
                 self._gains.clear()
-            found, now, plain = {}, self.least(sentence) + LEAST_BYTES, _plain(sentence)
-            runs = [(m.group(), self.undone(m.group())) for m in RUN.finditer(sentence)] if now > LEAST_BYTES else []
-            costs, own = {}, _pairs(sentence)
-            for k in set().union(*(u for _, u in runs)):
-                parts = iter(runs)
-                out = RUN.sub(lambda m: next(parts)[1].get(k) or m.group(), sentence)
-                if out not in costs:
-                    raw = _plain(out)
-                    pairs = None if len(raw) < len(plain) else _pairs(out) - own
-                    costs[out] = min((len(c.compress(raw)) for c, p in zip(self._coders, self._pairs) if pairs is None or not p.isdisjoint(pairs)), default=None)
-                if costs[out] is not None:
-                    found[k] = now - costs[out]
+            found, now = {}, self.least(sentence) + LEAST_BYTES
+            if now > LEAST_BYTES:
+                between, runs = RUN.split(sentence), RUN.findall(sentence)
+                undone, forms = [self.undone(r) for r in runs], {}
+                for k in set().union(*undone):
+                    forms.setdefault(tuple([u.get(k) or r for u, r in zip(undone, runs)]), []).append(k)
+                ascii_ = [_plain(x) for x in between]
+                for form, chains in forms.items():
+                    if (cost := self._cost(sentence, between, ascii_, runs, form)) is not None:
+                        found |= dict.fromkeys(chains, now - cost)
             self._gains[sentence] = found
         return found
 
+    def _cost(self, sentence: str, between: list[str], ascii_: list[bytes], runs: list[str], form: tuple[str, ...]) -> int | None:
+        """Bytes of the sentence with the runs of ``form`` for its ``runs``, by the dictionaries that may make it shorter; None if none may."""
+        longer, holding = 0, 0
+        for i, (run, restored) in enumerate(zip(runs, form)):
+            if run != restored:
+                longer += len(_plain_run(restored)) - len(_plain_run(run))
+                for pair, which in self.known(between[i][-1:], restored, between[i + 1][:1]):
+                    if which & ~holding and pair not in sentence:
+                        holding |= which
+        if longer >= 0 and not holding:
+            return None
+        raw = b"".join([x for pair in zip(ascii_, map(_plain_run, form)) for x in pair] + ascii_[-1:])
+        return min((len(c.compress(raw)) for i, c in enumerate(self._coders) if longer < 0 or holding >> i & 1), default=None)
+
     def candidates(self, line: str) -> Iterator[tuple[int, str, int]]:
         """(chain, restored line, stretches) of the chains that may shorten the description; candidates with the same result once.
 
@@ -320,8 +383,9 @@ def repair_line(line: str, judge: Judge) -> tuple[str, str, float] | None:
     """
     s, lost = judge.model.settings, _lost_marks(line)
     options = [(len(CHAINS[k]) * s.chain_bytes + n * STRETCH_BYTES, out, k) for k, out, n in judge.candidates(line)]
-    now = judge.bytes_of(line)
-    options += [(len(CHAINS[k]) * s.chain_bytes, out, k) for k, out in _whole_lines(line) if now - judge.bytes_of(out) >= s.chain_bytes]
+    if whole := _whole_lines(line):
+        now = judge.bytes_of(line)
+        options += [(len(CHAINS[k]) * s.chain_bytes, out, k) for k, out in whole if now - judge.bytes_of(out) >= s.chain_bytes]
     if lost:
         options.append((s.lost_bytes, _fill(line, judge.model), -1))
     if not options:
@@ -385,20 +449,22 @@ def train(lines: DataFrame, usage: DataFrame, by_gap: dict[tuple[str, int, str],
     lines = lines.select("lang", "line", F.pmod(F.xxhash64("line", F.lit(7)), F.lit(groups)).alias("part"))
 
     def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        runs: dict = {}
+        forms = Forms()
         for batch in batches:
-            yield pd.DataFrame(sorted({(g, *c) for g, line in zip(batch["part"].tolist(), batch["line"]) for contexts, _ in _forms(line, runs) for c in contexts}), columns=["part", *names])
+            found: dict[int, set[Context]] = {}
+            for g, line in zip(batch["part"].tolist(), batch["line"]):
+                found.setdefault(g, set()).update(*(forms.of(c).keys for c in _contexts(line)), *(map(_key, _contexts(whole)) for _, whole in _whole_lines(line)))
+            columns = list(zip(*((g, *c) for g, contexts in found.items() for c in contexts))) or [()] * 4
+            yield pd.DataFrame(dict(zip(["part", *names], columns)))
 
     known = lines.select("part", "line").mapInPandas(asked, "part bigint, " + _CONTEXT).distinct().join(usage.where("what = 'run'").select(*names, "n"), names)
 
+    forms = Forms()  # one in each task, for all its groups
+
     def correct(group: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        usual, runs, found = dict(zip(zip(*(counts[x] for x in names)), map(log1p, counts["n"]))), {}, []
+        usual, judged, found = dict(zip(zip(*(counts[x] for x in names)), map(log1p, counts["n"]))), {}, []
         for lang, line in zip(group["lang"], group["line"]):
-            (own, _), *others = _forms(line, runs)
-            at = [usual.get(c, 0.0) for c in own]
-            if LOST in line or any(
-                shorter >= SURE_CHARS or sum(usual.get(c, 0.0) for c in contexts) / max(1, len(contexts)) > sum(at[i] for i in which) / len(which) + 0.2 for contexts, (which, shorter) in others
-            ):
+            if LOST in line or _taken_for_garbled(line, forms, usual, judged):
                 continue
             found += [(lang, re.sub("[0-9]", "0", x), len(_plain(x)) + 1) for x in SENTENCE.split(line) if not x.isascii() and len(x) <= settings.sample_line]
         return pd.DataFrame(found, columns=["lang", "sentence", "size"])
@@ -418,20 +484,63 @@ def train(lines: DataFrame, usage: DataFrame, by_gap: dict[tuple[str, int, str],
     return Model({lang: "\n".join(x) for lang, x in texts.items()}, by_gap, settings)
 
 
-def _forms(line: str, runs: dict[str, dict[int, str]]) -> list[tuple[list[tuple[str, str, str]], tuple[list[int], int]]]:
-    """The contexts of a line, and of those of its runs that each chain can be undone on: which they are, and how many characters undoing utf-8 takes away."""
+@dataclass(frozen=True, slots=True)
+class Form:
+    """A run in context: ``own`` is what is counted of it, ``restored`` that of the run under each chain that can be undone on it, ``shorter``
+    how many characters undoing utf-8 takes away, ``keys`` all that is counted of these."""
+
+    own: Context
+    restored: dict[int, Context]
+    shorter: dict[int, int]
+    keys: frozenset[Context]
+
+
+class Forms:
+    """What the chains make of runs in context, remembered for a bounded number of them."""
+
+    def __init__(self) -> None:
+        self._seen: dict[Context, Form] = {}
+        self._runs: dict[str, dict[int, str]] = {}
+
+    def of(self, context: Context) -> Form:
+        found = self._seen.get(context)
+        if found is None:
+            if len(self._seen) > REMEMBERED // 2:
+                self._seen.clear()
+                self._runs.clear()
+            left, run, right = context
+            undone = self._runs[run] if run in self._runs else self._runs.setdefault(run, _undone(run))
+            by_text = {r: _key((left, r, right)) for r in undone.values()}
+            shorter = {k: len(run) - len(r) for k, r in undone.items() if CHAINS[k][0][0] == "utf-8"}
+            own = _key(context)
+            found = self._seen[context] = Form(own, {k: by_text[r] for k, r in undone.items()}, shorter, frozenset([own, *by_text.values()]))
+        return found
+
+
+def _taken_for_garbled(line: str, forms: Forms, usual: dict[Context, float], judged: dict[Context, tuple[float, list[int]]]) -> bool:
+    """Whether some chain makes the runs that it can be undone on more ``usual`` on the average, or takes several characters away by undoing utf-8.
+
+    ``judged`` remembers of each context how usual it is, and the chains that make it more so or shorter: a line has to be described
+    only under chains that do so in one of its contexts, since the others can't raise the average.
+    """
     contexts = _contexts(line)
-    undone = [runs[c[1]] if c[1] in runs else runs.setdefault(c[1], _undone(c[1])) for c in contexts]
-    out = {}
-    for k in sorted(set().union(*undone)):
-        which = [i for i, r in enumerate(undone) if k in r]
-        restored = [_key((contexts[i][0], undone[i][k], contexts[i][2])) for i in which]
-        shorter = sum(len(contexts[i][1]) - len(undone[i][k]) for i in which) if CHAINS[k][0][0] == "utf-8" else 0
-        out.setdefault((tuple(restored), tuple(which)), (restored, (which, shorter)))
-    for k, whole in _whole_lines(line):
-        restored = [_key(c) for c in _contexts(whole)]
-        out.setdefault((tuple(restored), k), (restored, (list(range(len(contexts))), 0)))
-    return [([_key(c) for c in contexts], ([], 0)), *out.values()]
+    for c in contexts:
+        if c not in judged:
+            form = forms.of(c)
+            at = usual.get(form.own, 0.0)
+            judged[c] = at, [k for k, key in form.restored.items() if k in form.shorter or usual.get(key, 0.0) > at]
+    at = [judged[c][0] for c in contexts]
+    if chains := set().union(*(judged[c][1] for c in contexts)):
+        made = [forms.of(c) for c in contexts]
+        for k in chains:
+            which = [i for i, form in enumerate(made) if k in form.restored]
+            if sum(made[i].shorter.get(k, 0) for i in which) >= SURE_CHARS or sum(usual.get(made[i].restored[k], 0.0) for i in which) / len(which) > sum(at[i] for i in which) / len(which) + 0.2:
+                return True
+    for _, whole in _whole_lines(line):
+        restored = [usual.get(_key(c), 0.0) for c in _contexts(whole)]
+        if sum(restored) / max(1, len(restored)) > sum(at) / len(at) + 0.2:
+            return True
+    return False
 
 
 def language_of(lang: Column) -> Column:
@@ -479,7 +588,7 @@ def find_garbled(documents: DataFrame, doc_id: Column, text: Column, lang: Colum
                     continue
                 lines, chains, saved, n = t.split("\n"), set(), 0.0, 0
                 for k, line in enumerate(lines):
-                    if not line.isascii() and (r := repair_line(line, judge)):
+                    if not line.isascii() and (r := judge.repair(line)):
                         lines[k], n, saved = r[0], n + 1, saved + r[2]
                         chains.add(r[1])
                 if n:

@@ -433,3 +433,68 @@ def test_planted_texts_are_restored(spark, corpus):
     right = sum(got[k].restored == t for k, t in want.items() if k in got)
     print(f"{len(want)} planted, {len(set(got) & set(want))} found, {right} restored")
     assert set(got) <= set(want) and right >= 0.95 * len(want) > 100
+
+
+def test_repeated_work_is_done_once(monkeypatch):
+    """Readings with the same result are one, and a repeated line isn't compressed again."""
+    whole = G._whole_lines("it’s late")
+    assert whole and len({x for _, x in whole}) == len(whole)
+    judge, compressed = G.Judge(G.Model({"fr": CLEAN["fr"] * 3, "en": CLEAN["en"] * 3}, {}, G.Settings())), []
+    monkeypatch.setattr(G, "_plain", lambda text, plain=G._plain: compressed.append(text) or plain(text))
+    line = lenient(CLEAN["fr"].encode(), "cp1252")
+    first = judge.repair(line)
+    assert first[0] == CLEAN["fr"] and compressed
+    compressed.clear()
+    assert judge.repair(line) == first and not compressed
+
+
+@pytest.fixture(scope="module")
+def lines(corpus):
+    """Correct lines, and the same read wrongly, with and without lost characters."""
+    good = [x for _, _, text in corpus[:20] for x in text.split("\n")]
+    bad = [lenient(x.encode(written), read) for x, (_, written, read) in zip(good, GARBLES * 9) if x.encode(written, "ignore").decode(written) == x]
+    return good + bad + ["Ã©té, " + x for x in good] + [x.replace("é", "�") for x in good]
+
+
+def test_lines_left_out_are_those_of_all_chains(lines):
+    """Chains that can't raise the average aren't described; the lines taken for garbled are those that describing all of them gives."""
+
+    def garbled_by(line, usual):
+        own = G._contexts(line)
+        at = [usual.get(G._key(c), 0.0) for c in own]
+        for k, chain in enumerate(G.CHAINS):
+            if chain[0][0] in G.MIXED:
+                whole = G._restore(line, chain)
+                made = None if whole is None or whole.isascii() else ([usual.get(G._key(c), 0.0) for c in G._contexts(whole)], at, 0)
+            else:
+                each = [(i, (left, r, right)) for i, (left, run, right) in enumerate(own) if (r := G._restore(run, chain)) is not None]
+                shorter = sum(len(own[i][1]) - len(c[1]) for i, c in each) if chain[0][0] == "utf-8" else 0
+                made = ([usual.get(G._key(c), 0.0) for _, c in each], [at[i] for i, _ in each], shorter) if each else None
+            if made and (made[2] >= G.SURE_CHARS or sum(made[0]) / max(1, len(made[0])) > sum(made[1]) / len(made[1]) + 0.2):
+                return True
+        return False
+
+    r, seen = random.Random(4), [x for x in lines if not x.isascii()]
+    counts = G.usage_of(seen)
+    usual = {k[1:]: r.random() * 3 * n for k, n in counts.items() if k[0] == "run"}
+    forms, judged = G.Forms(), {}
+    got = [G._taken_for_garbled(x, forms, usual, judged) for x in seen]
+    assert got == [garbled_by(x, usual) for x in seen] and 0 < sum(got) < len(got)
+
+
+def test_gains_are_those_of_whole_sentences(lines):
+    """A sentence put together from parts costs what it costs as a whole, by every dictionary that may make it shorter."""
+    judge = G.Judge(G.Model({k: v * 3 for k, v in CLEAN.items()}, {}, G.Settings()))
+    coders, held = judge.model.coders(G.LEVELS[0]), [G._pairs(v * 3) for v in CLEAN.values()]
+    compared = 0
+    for sentence in {x for line in lines for x in G.SENTENCE.split(line) if not x.isascii()}:
+        now, want, undone = judge.bytes_of(sentence), {}, {x: G._undone(x) for x in G.RUN.findall(sentence)}
+        for k in set().union(*undone.values()) if now > G.LEAST_BYTES else ():
+            out = G.RUN.sub(lambda m: undone[m.group()].get(k) or m.group(), sentence)
+            raw, new = G._plain(out), G._pairs(out) - G._pairs(sentence)
+            costs = [len(c.compress(raw)) for c, h in zip(coders, held) if len(raw) < len(G._plain(sentence)) or not h.isdisjoint(new)]
+            if costs:
+                want[k] = now - min(costs)
+        compared += len(want)
+        assert judge.gains(sentence) == want
+    assert compared > 500
